@@ -10,15 +10,20 @@ ISO_PATTERN = (
     r"^\d{4}-\d{2}-\d{2}"
     r"([ T]\d{2}(:\d{2}(:\d{2}(\.\d{3}(\d{3})?)?)?)?([+-]\d{2}:\d{2})?)?$"
 )
-# A time of hours alone is valid ISO but not a Spark timestamp literal.
-_HOURS_ONLY = r"^(.{10}[ T]\d{2})($|[+-])"
+# Hours alone, and an offset without seconds, are valid ISO but not Spark literals.
+_NO_MINUTES = r"^(.{10}[ T]\d{2})($|[+-])"
+_NO_SECONDS = r"^(.{10}[ T]\d{2}:\d{2})($|[+-])"
 
 
 def iso_timestamp(text: Column) -> Column:
     """The instant an ISO text names, or null. Text without an offset is UTC."""
-    widened = F.regexp_replace(text, _HOURS_ONLY, "$1:00$2")
+    minutes = F.regexp_replace(text, _NO_MINUTES, "$1:00$2")
+    widened = F.regexp_replace(minutes, _NO_SECONDS, "$1:00$2")
+    # Nearly all text has its seconds and skips the rewriting.
+    has_seconds = (F.substring(text, 14, 1) == ":") & (F.substring(text, 17, 1) == ":")
+    complete = F.when(has_seconds, text).otherwise(widened)
     # The pattern alone lets 2024-02-30 pass and the cast alone lets 2024 pass.
     return F.when(
         text.rlike(ISO_PATTERN) & ~text.startswith("0000"),
-        widened.try_cast("timestamp"),
+        complete.try_cast("timestamp"),
     )

@@ -32,51 +32,47 @@ _RECORD_DDL = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in STREAM_
 
 
 def judge_lines(lines: DataFrame) -> DataFrame:
-    """Add the parsed ``record`` and ``reason``, the first rule a line breaks or null.
+    """Add the parsed fields and ``reason``, the first rule a line breaks or null.
 
     Rules apply in the order width, empty field, timestamp. The header line is a
     line like any other here, so its reason is never null.
     """
-    record = F.from_csv("value", _RECORD_DDL, _RECORD_OPTIONS)
-    return lines.withColumn("record", record).withColumn("reason", _reason())
+    # A generator of one row instead of a plain column: filters on what was parsed
+    # then stay above the parse, which Catalyst would otherwise repeat in them once
+    # per use of a field.
+    record = F.inline(F.array(F.from_csv("value", _RECORD_DDL, _RECORD_OPTIONS)))
+    return lines.select("*", record).withColumn("reason", _reason())
 
 
 def _reason() -> Column:
-    fields = [F.col(f"record.{name}") for name in STREAM_COLUMNS]
     empty = F.lit(False)
-    for field in fields:
+    for name in STREAM_COLUMNS:
         # The parser turns both ,, and "" into null. Blanks are a value.
-        empty = empty | field.isNull() | (field == "")
+        empty = empty | F.col(name).isNull() | (F.col(name) == "")
     return (
         F.when(~F.is_valid_utf8("value"), NOT_UTF8)
         # The parser skips a blank line and would end a record at a carriage return.
         .when(
-            (F.col("value") == "")
-            | F.col("value").contains("\r")
-            | F.col("record").isNull()
-            | F.col(f"record.{CORRUPT_COLUMN}").isNotNull(),
+            (F.col("value") == "") | F.col("value").contains("\r") | F.col(CORRUPT_COLUMN).isNotNull(),
             WIDTH,
         )
         .when(empty, EMPTY)
-        .when(iso_timestamp(F.col("record.listen_time")).isNull(), NOT_ISO)
+        .when(iso_timestamp(F.col("listen_time")).isNull(), NOT_ISO)
     )
 
 
-def is_header(record: Column) -> Column:
+def _is_header() -> Column:
     """Exactly the expected names, in order and case, and nothing else."""
-    same = record[CORRUPT_COLUMN].isNull()
+    same = F.col(CORRUPT_COLUMN).isNull()
     for name in STREAM_COLUMNS:
-        same = same & record[name].eqNullSafe(F.lit(name))
+        same = same & F.col(name).eqNullSafe(F.lit(name))
     return same
 
 
 def good_plays(judged: DataFrame) -> DataFrame:
     """Typed plays of the lines that break no rule. Headers drop out with the rest."""
     return judged.where(F.col("reason").isNull()).select(
-        "file",
-        F.col("record.user_id").alias("user_id"),
-        F.col("record.track_id").alias("track_id"),
-        iso_timestamp(F.col("record.listen_time")).alias("listen_time"),
+        "file", "user_id", "track_id", iso_timestamp(F.col("listen_time")).alias("listen_time")
     )
 
 
@@ -98,8 +94,8 @@ def _blocks(judged: DataFrame) -> DataFrame:
     has lines. It stays apart from ``bad`` because only the position in the file
     tells whether such a line is the header or a bad record.
     """
-    bad = F.struct("pos", "reason", "value", F.col("record.listen_time").alias("listen_time"))
-    header = is_header(F.col("record"))
+    bad = F.struct("pos", "reason", "value", "listen_time")
+    header = _is_header()
     return judged.groupBy("file", "block").agg(
         F.count(F.lit(1)).alias("lines"),
         F.min("pos").alias("first_pos"),
@@ -226,7 +222,7 @@ def bad_lines(lines: DataFrame) -> DataFrame:
     return (
         judged.where(F.col("reason").isNotNull())
         .join(offsets, ["file", "block"], "left")
-        .select("file", line_no.alias("line_no"), "reason", "value", "record")
+        .select("file", line_no.alias("line_no"), "reason", "value", "listen_time")
         # Line 1 is judged as the header by the file's verdict, not as a record.
         .where(F.col("line_no").isNull() | (F.col("line_no") > 1))
         .select(
@@ -235,7 +231,7 @@ def bad_lines(lines: DataFrame) -> DataFrame:
             "reason",
             "value",
             line_message(
-                F.col("line_no"), F.col("reason"), F.col("value"), F.col("record.listen_time")
+                F.col("line_no"), F.col("reason"), F.col("value"), F.col("listen_time")
             ).alias("message"),
         )
     )

@@ -37,7 +37,9 @@ def _located(raw: DataFrame) -> DataFrame:
     return raw.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.regexp_replace("value", r"\r$", "").alias("value"),
+        F.when(F.col("value").endswith("\r"), F.expr("left(value, length(value) - 1)"))
+        .otherwise(F.col("value"))
+        .alias("value"),
     )
 
 
@@ -53,7 +55,6 @@ def zero_length_files(spark: SparkSession, path: str) -> DataFrame:
         status = files.next()
         name = status.getPath().getName()
         if status.getLen() == 0 and not name.startswith(("_", ".")):
-            uri = status.getPath().toUri()
             # The spelling of the scan's own metadata column.
-            empty.append((f"file://{uri.getPath()}" if uri.getScheme() == "file" else uri.toString(),))
+            empty.append((status.getPath().toString(),))
     return spark.createDataFrame(empty, "file string")
