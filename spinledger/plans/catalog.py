@@ -16,7 +16,7 @@ from ..operators import kpis, lookups
 from ..operators.enrich import enrich_streams
 from ..operators.upsert import items_json, kpi_items, upsert
 from ..operators.validation import bad_lines, file_verdicts
-from ..schemas import DAILY_GENRE_ITEM, DAILY_GENRE_KEYS, TOP_GENRES_ITEM, TOP_SONGS_ITEM, Layout
+from ..schemas import DAILY_GENRE_ITEM, DAILY_GENRE_KEYS, STREAM, TOP_GENRES_ITEM, TOP_SONGS_ITEM, Layout
 from ..session import scratch_path
 from ..sources.lines import read_lines
 from ..sources.manifest import dates_manifest
@@ -463,6 +463,22 @@ def stream_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_kpis(spark, layout.top_songs)
 
 
+@_query("select cast(ts as date) as listen_date, count(*) as lines from events group by all")
+def archive_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plays per day in the archived files and the one still waiting: none is lost."""
+    root = scratch_path(spark, "archive")
+    layout = Layout(f"{root}/tables")
+    songs = given.text_ids(given.songs(spark, sf_dir))
+    users = given.text_ids(given.suppliers_as_users(spark, sf_dir))
+    given.event_csv_columns(spark, sf_dir).repartition(3).write.csv(f"{root}/streams", header=True)
+    start_stream(
+        f"{root}/streams", songs, users, layout, f"{root}/checkpoint", archive_path=f"{root}/archived"
+    ).awaitTermination()
+    folders = [f"{root}/{name}" for name in ("streams", "archived")]
+    files = spark.read.schema(STREAM).csv(folders, header=True, recursiveFileLookup=True)
+    return files.groupBy(F.to_date("listen_time").alias("listen_date")).agg(F.count(F.lit(1)).alias("lines"))
+
+
 # --- serving -------------------------------------------------------------------
 
 

@@ -16,7 +16,7 @@ from ..operators.validation import (
     good_plays,
     judge_lines,
 )
-from ..schemas import Layout
+from ..schemas import VERDICT, Layout
 from ..sources.lines import read_lines, zero_length_files
 from ..sources.manifest import read_dates_manifest, write_dates_manifest
 from ..sources.paths import archive_input, exists
@@ -99,47 +99,78 @@ def ingest(
     mode: str = FILE_MODE,
     rebalance: bool = False,
 ) -> dict[str, int]:
-    """One arrival: verdicts, quarantine, enriched plays, manifest, KPI refresh, metrics.
+    """One arrival: validate, transform, load, and a row of run metrics.
 
     In ``files`` mode one bad record rejects its file and the other files go on. In
     ``rows`` mode only the bad records are set aside. Every step replaces what an
     earlier attempt at the same ``source_id`` wrote, so a failed run can be repeated.
     """
-    verdicts = file_verdicts(lines).unionByName(empty_file_verdicts(empty_files))
-    write_slice(verdicts, layout.verdicts, source_id)
-    # Read back: Catalyst then knows the true size of the verdicts and broadcasts
-    # them into the scan of the lines only while that is small.
-    verdicts = spark.read.parquet(slice_path(layout.verdicts, source_id))
+    metrics = validate(spark, lines, empty_files, layout, source_id, mode=mode)
+    metrics |= transform(spark, lines, songs, users, layout, source_id, mode=mode, rebalance=rebalance)
+    metrics |= load(spark, layout, source_id)
+    row = spark.createDataFrame([tuple(metrics.values())], ", ".join(f"{name} bigint" for name in metrics))
+    write_slice(row, layout.run_metrics, source_id)
+    return metrics
+
+
+def validate(
+    spark: SparkSession,
+    lines: DataFrame,
+    empty_files: DataFrame,
+    layout: Layout,
+    source_id: str,
+    *,
+    mode: str = FILE_MODE,
+) -> dict[str, int]:
+    """Store a verdict per file and what is set aside, with the reasons."""
     usable = _usable(mode)
-    accepted = verdicts.where(usable).select("file")
+    judged = file_verdicts(lines).unionByName(empty_file_verdicts(empty_files))
+    write_slice(judged, layout.verdicts, source_id)
+    verdicts = read_verdicts(spark, layout, source_id)
     rejects = verdicts.where(~usable).select(*_REJECT)
     if mode == ROW_MODE:
-        rejects = rejects.unionByName(
-            bad_lines(lines).join(accepted, "file", "left_semi").select(*_REJECT)
-        )
+        accepted = verdicts.where(usable).select("file")
+        bad_records = bad_lines(lines).join(accepted, "file", "left_semi")
+        rejects = rejects.unionByName(bad_records.select(*_REJECT))
     quarantined = write_slice(rejects, layout.quarantine, source_id)
+    checked = verdicts.agg(
+        F.count(F.lit(1)).alias("files_checked"),
+        F.count_if(~usable).alias("files_rejected"),
+        F.coalesce(F.sum("data_rows"), F.lit(0)).alias("rows_checked"),
+    ).first()
+    return {**checked.asDict(), "quarantined": quarantined}
+
 
+def transform(
+    spark: SparkSession,
+    lines: DataFrame,
+    songs: DataFrame,
+    users: DataFrame,
+    layout: Layout,
+    source_id: str,
+    *,
+    mode: str = FILE_MODE,
+    rebalance: bool = False,
+) -> dict[str, int]:
+    """Store the enriched plays of the usable files and the manifest of days touched."""
+    # The stored verdicts have a known size: Catalyst broadcasts them into the scan
+    # of the lines only while they are small.
+    accepted = read_verdicts(spark, layout, source_id).where(_usable(mode)).select("file")
     plays = good_plays(judge_lines(lines.join(accepted, "file", "left_semi"))).drop("file")
     rows, dates = write_enriched(
         enrich_streams(plays, songs, users), layout.enriched, source_id, rebalance=rebalance
     )
     touched = _touched(spark, layout, source_id, dates)
-    items = refresh_kpis(spark, layout, touched)
-    checked = verdicts.agg(
-        F.count(F.lit(1)).alias("files_checked"),
-        F.count_if(~usable).alias("files_rejected"),
-        F.coalesce(F.sum("data_rows"), F.lit(0)).alias("rows_checked"),
-    ).first()
-    metrics = {
-        **checked.asDict(),
-        "quarantined": quarantined,
-        "rows_written": rows,
-        "dates_touched": len(touched),
-        **items,
-    }
-    row = spark.createDataFrame([tuple(metrics.values())], ", ".join(f"{name} bigint" for name in metrics))
-    write_slice(row, layout.run_metrics, source_id)
-    return metrics
+    return {"rows_written": rows, "dates_touched": len(touched)}
+
+
+def load(spark: SparkSession, layout: Layout, source_id: str) -> dict[str, int]:
+    """Refresh the KPI tables for the days in the arrival's manifest."""
+    return refresh_kpis(spark, layout, read_dates_manifest(spark, layout.manifest(source_id)))
+
+
+def read_verdicts(spark: SparkSession, layout: Layout, source_id: str) -> DataFrame:
+    return spark.read.schema(VERDICT).parquet(slice_path(layout.verdicts, source_id))
 
 
 def _usable(mode: str) -> Column:

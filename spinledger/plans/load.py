@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..operators.kpis import compute_daily_genre_kpis, compute_top_songs_per_genre, rank_genres
 from ..operators.upsert import with_complete_key, with_incomplete_key
 from ..schemas import DAILY_GENRE_KEYS, TOP_GENRES_KEYS, TOP_SONGS_KEYS, Layout
-from ..sources.tables import read_enriched, write_days
+from ..sources.tables import clear_partitions, read_enriched, write_days
 
 TOP_SONGS = 3
 TOP_GENRES = 5
@@ -49,7 +49,7 @@ def refresh_kpis(
         rejected = _rejected(daily, DAILY_GENRE_KEYS, "daily_genre_kpis").unionByName(
             _rejected(songs, TOP_SONGS_KEYS, "top_songs_per_genre")
         )
-        written["rejected_items"] = write_days(rejected, layout.rejected_items, dates)
+        written["rejected_items"] = _report(spark, rejected, layout.rejected_items, dates)
     finally:
         daily.unpersist()
         songs.unpersist()
@@ -64,3 +64,10 @@ def _rejected(rows: DataFrame, keys: list[str], table: str) -> DataFrame:
     bad = with_incomplete_key(rows, keys)
     item = F.to_json(F.struct(*rows.columns)).alias("item")
     return bad.select("date", F.lit(table).alias("table"), "reason", item)
+
+
+def _report(spark: SparkSession, rejected: DataFrame, path: str, dates: Sequence[str]) -> int:
+    if rejected.isEmpty():
+        clear_partitions(spark, path, [f"date={day}" for day in dates])
+        return 0
+    return write_days(rejected, path, dates)

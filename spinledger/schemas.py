@@ -30,6 +30,18 @@ STREAM_RECORD = T.StructType(
 SONG_TYPES = {"duration_ms": "bigint"}
 USER_TYPES = {"user_age": "bigint"}
 
+VERDICT = T.StructType(
+    [
+        T.StructField("file", T.StringType()),
+        T.StructField("ok", T.BooleanType()),
+        T.StructField("reason", T.StringType()),
+        T.StructField("line_no", T.LongType()),
+        T.StructField("message", T.StringType()),
+        T.StructField("row_count", T.LongType()),
+        T.StructField("data_rows", T.LongType()),
+    ]
+)
+
 MANIFEST = T.StructType([T.StructField("dates", T.ArrayType(T.StringType()))])
 
 # The composite keys of the three KPI tables.

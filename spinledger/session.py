@@ -19,6 +19,8 @@ SETTINGS = {
     # while its size is within this bound; a larger one is joined by shuffle.
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.sources.partitionColumnTypeInference.enabled": "true",
+    # Recording a call site for every column expression slows down plan building.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

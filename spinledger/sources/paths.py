@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import SparkSession
 
 
@@ -15,6 +17,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def existing(spark: SparkSession, parent: str, names: Iterable[str]) -> list[str]:
+    """The full paths of those names that exist below ``parent``."""
+    fs, parent_path = _resolve(spark, parent)
+    if not fs.exists(parent_path):
+        return []
+    new_path = spark._jvm.org.apache.hadoop.fs.Path
+    return [f"{parent}/{name}" for name in names if fs.exists(new_path(parent_path, name))]
+
+
 def archive_input(spark: SparkSession, raw_root: str, archive_root: str, object_key: str) -> dict[str, str]:
     """Move a processed input to the archive under the same relative key.
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import date_text
-from .paths import exists
+from .paths import existing
 
 
 def read_enriched(spark: SparkSession, path: str, dates: Sequence[str] | None = None) -> DataFrame:
@@ -30,8 +30,7 @@ def read_kpis(spark: SparkSession, path: str, dates: Sequence[str] | None = None
 def _read_days(spark: SparkSession, path: str, column: str, dates: Sequence[str] | None) -> DataFrame:
     if dates is None:
         return spark.read.parquet(path)
-    folders = [f"{path}/{column}={day}" for day in dates]
-    present = [folder for folder in folders if exists(spark, folder)]
+    present = existing(spark, path, [f"{column}={day}" for day in dates])
     if not present:
         return spark.read.parquet(path).where(date_text(F.col(column)).isin(list(dates)))
     return spark.read.option("basePath", path).parquet(*present)
@@ -62,10 +61,12 @@ def write_days(rows: DataFrame, path: str, dates: Iterable[str]) -> int:
 
     A day that has no rows any more is emptied as well.
     """
-    # One file per day: the frame is a summary, small next to what it sums up.
-    seen = _overwrite(rows.hint("rebalance", F.col("date")), path, ["date"], F.col("date"))
     spark = rows.sparkSession
-    clear_partitions(spark, path, [f"date={day}" for day in sorted(set(dates) - set(seen["days"]))])
+    dates = set(dates)
+    # A day of a summary is a handful of rows: one file per day, written in parallel.
+    tasks = max(1, min(len(dates), spark.sparkContext.defaultParallelism))
+    seen = _overwrite(rows.repartition(tasks, "date"), path, ["date"], F.col("date"))
+    clear_partitions(spark, path, [f"date={day}" for day in sorted(dates - set(seen["days"]))])
     return seen["rows"]
 
 
@@ -83,10 +84,8 @@ def slice_path(path: str, source_id: str) -> str:
 
 def clear_partitions(spark: SparkSession, path: str, partitions: Iterable[str]) -> None:
     """Leave the named partitions, such as ``date=2024-06-25``, without rows."""
-    for partition in partitions:
-        folder = f"{path}/{partition}"
-        if exists(spark, folder):
-            spark.read.parquet(folder).limit(0).write.mode("overwrite").parquet(folder)
+    for folder in existing(spark, path, partitions):
+        spark.read.parquet(folder).limit(0).write.mode("overwrite").parquet(folder)
 
 
 def _overwrite(rows: DataFrame, path: str, partition_by: list[str], day: Column) -> dict:
