@@ -13,7 +13,7 @@ def upsert(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return existing.join(new.select(*keys), keys, "left_anti").unionByName(new)
 
 
-def kpi_items(rows: DataFrame, attributes: dict[str, str]) -> DataFrame:
+def to_items(rows: DataFrame, attributes: dict[str, str]) -> DataFrame:
     """Rows as store items: the named attributes only, text or exact decimal."""
     return rows.select(
         [

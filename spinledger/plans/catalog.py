@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..operators import kpis, lookups
 from ..operators.enrich import enrich_streams
-from ..operators.upsert import items_json, kpi_items, upsert
+from ..operators.upsert import items_json, to_items, upsert
 from ..operators.validation import bad_lines, file_verdicts
-from ..schemas import DAILY_GENRE_ITEM, DAILY_GENRE_KEYS, STREAM, TOP_GENRES_ITEM, TOP_SONGS_ITEM, Layout
+from ..schemas import DAILY_GENRE_ITEM, DAILY_GENRE_KEYS, STREAM, TOP_GENRES_ITEM, TOP_GENRES_KEYS, TOP_SONGS_ITEM, TOP_SONGS_KEYS, Layout
 from ..session import scratch_path
+from ..sources import manifest
+from ..sources.csv_tables import read_songs, read_streams, read_users
 from ..sources.lines import read_lines
-from ..sources.manifest import dates_manifest
 from ..sources.tables import read_enriched, read_kpis, slice_path, write_enriched
 from ..streaming.pipeline import start_stream
 from . import given_tables as given
@@ -160,6 +161,17 @@ def enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _enriched(spark, sf_dir)
 
 
+@_query(_with(_EN, select=f"select {_ENRICHED_COLUMNS} from en"))
+def enrich_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The joins as they run once songs and users are too large to broadcast."""
+    return enrich_streams(
+        given.event_streams(spark, sf_dir),
+        given.songs(spark, sf_dir),
+        given.suppliers_as_users(spark, sf_dir),
+        join_hint="merge",
+    )
+
+
 @_query(_with(_EN_ORDERS, select=f"select {_ENRICHED_COLUMNS} from en"))
 def orders_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _enriched_orders(spark, sf_dir)
@@ -188,13 +200,48 @@ def pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "from (select distinct cast(listen_date as varchar) as d from en)",
     )
 )
-def dates_manifest_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dates_manifest(_enriched(spark, sf_dir)).select(F.to_json("dates").alias("dates"))
+def dates_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.dates_manifest(_enriched(spark, sf_dir)).select(F.to_json("dates").alias("dates"))
 
 
 @_query(_with(_EN, select="select distinct cast(listen_date as varchar) as listen_date from en"))
 def dates_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dates_manifest(_enriched(spark, sf_dir)).select(F.explode("dates").alias("listen_date"))
+    return manifest.dates_manifest(_enriched(spark, sf_dir)).select(F.explode("dates").alias("listen_date"))
+
+
+@_query(_with(_EN, select="select distinct cast(listen_date as varchar) as listen_date from en"))
+def manifest_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days observed on the write, through a manifest file, to the pruned read."""
+    path = scratch_path(spark, "handed-over")
+    _, dates = write_enriched(_enriched(spark, sf_dir), f"{path}/enriched", "all")
+    manifest.write_dates_manifest(spark, f"{path}/manifest.json", dates)
+    days = manifest.read_dates_manifest(spark, f"{path}/manifest.json")
+    stored = read_enriched(spark, f"{path}/enriched", days)
+    return stored.select(text.date_text(F.col("listen_date")).alias("listen_date")).distinct()
+
+
+@_query("""select cast(user_id as varchar) as user_id, json_extract_string(props, '$.k') as track_id,
+  ts as listen_time from events""")
+def csv_streams_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "csv-streams")
+    given.event_csv_columns(spark, sf_dir).write.csv(path, header=True)
+    return read_streams(spark, path)
+
+
+@_query("""select cast(p_partkey as varchar) as track_id, p_name as track_name, p_type as track_genre,
+  p_brand as artists, p_size::bigint * 10000 as duration_ms from part""")
+def csv_songs_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "csv-songs")
+    given.songs(spark, sf_dir).write.csv(path, header=True)
+    return read_songs(spark, path)
+
+
+@_query("""select cast(s_suppkey as varchar) as user_id, s_name as user_name,
+  cast(s_nationkey as varchar) as user_country from supplier""")
+def csv_users_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "csv-users")
+    given.suppliers_as_users(spark, sf_dir).write.csv(path, header=True)
+    return read_users(spark, path)
 
 
 # --- KPI tables ----------------------------------------------------------------
@@ -281,8 +328,8 @@ def orders_top_genres_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 from daily""",
     )
 )
-def kpi_items_daily_genre(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kpi_items(_daily(spark, sf_dir), DAILY_GENRE_ITEM)
+def kpi_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return to_items(_daily(spark, sf_dir), DAILY_GENRE_ITEM)
 
 
 @_query(
@@ -295,7 +342,7 @@ from songs""",
     )
 )
 def kpi_items_top_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kpi_items(_top_songs(spark, sf_dir), TOP_SONGS_ITEM)
+    return to_items(_top_songs(spark, sf_dir), TOP_SONGS_ITEM)
 
 
 @_query(
@@ -306,7 +353,7 @@ def kpi_items_top_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def kpi_items_top_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kpi_items(_top_genres(spark, sf_dir), TOP_GENRES_ITEM)
+    return to_items(_top_genres(spark, sf_dir), TOP_GENRES_ITEM)
 
 
 @_query(
@@ -339,6 +386,64 @@ def upsert_daily_genre(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert(views, later, DAILY_GENRE_KEYS)
 
 
+@_query(
+    _with(
+        _EN,
+        "old_en as (select * from en where event_type = 'view')",
+        _songs(),
+        _songs().replace("songs as", "old_songs as").replace("from en", "from old_en").replace("en.track_id", "old_en.track_id"),
+        select=f"""select * from songs where date >= '{HALF}'
+union all select o.* from old_songs o where not exists (
+  select 1 from songs s where s.date >= '{HALF}' and s.genre = o.genre and s.date_rank = o.date_rank)""",
+    )
+)
+def upsert_top_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    views = kpis.compute_top_songs_per_genre(_enrich(spark, sf_dir, given.views(spark, sf_dir)))
+    return upsert(views, _top_songs(spark, sf_dir).where(F.col("date") >= HALF), TOP_SONGS_KEYS)
+
+
+@_query(
+    _with(
+        _EN,
+        "old_en as (select * from en where event_type = 'view')",
+        _GENRES,
+        _GENRES.replace("genres as", "old_genres as").replace("from en", "from old_en"),
+        select=f"""select * from genres where date >= '{HALF}'
+union all select o.* from old_genres o where not exists (
+  select 1 from genres g where g.date >= '{HALF}' and g.date = o.date and g.rank = o.rank)""",
+    )
+)
+def upsert_top_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    views = kpis.compute_top_genres_daily(_enrich(spark, sf_dir, given.views(spark, sf_dir)))
+    return upsert(views, _top_genres(spark, sf_dir).where(F.col("date") >= HALF), TOP_GENRES_KEYS)
+
+
+# Songs of one type listed without their genre.
+_EN_NO_GENRE = _EN.replace("p_type as track_genre", "nullif(p_type, 'PROMO') as track_genre")
+
+
+@_query(
+    _with(
+        _EN_NO_GENRE,
+        _DAILY,
+        _songs(),
+        select="""select date, 'daily_genre_kpis' as "table", 'null key: genre' as reason, count(*) as items
+from daily where genre is null group by date
+union all select date, 'top_songs_per_genre', 'null key: genre', count(*) from songs where genre is null group by date""",
+    )
+)
+def rejected_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items a keyed store could not take, counted per day; the others are stored."""
+    layout = Layout(scratch_path(spark, "no-genre"))
+    genre = F.when(F.col("track_genre") != "PROMO", F.col("track_genre"))
+    songs = given.songs(spark, sf_dir).withColumn("track_genre", genre)
+    plays = enrich_streams(given.event_streams(spark, sf_dir), songs, given.suppliers_as_users(spark, sf_dir))
+    _, dates = write_enriched(plays, layout.enriched, "all")
+    refresh_kpis(spark, layout, dates)
+    rows = read_kpis(spark, layout.rejected_items)
+    return rows.groupBy("date", "table", "reason").agg(F.count(F.lit(1)).alias("items"))
+
+
 @_query(_with(_EN, _DAILY, select="select * from daily"))
 def day_union_recompute(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two arrivals share their days; the second refreshes them from all plays stored."""

@@ -37,10 +37,11 @@ def build_session(app_name: str = "spinledger", master: str | None = None, **ext
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a local test) falls back to a folder of
-    the local machine.
+    Only a local session without that setting falls back to a folder of its machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder all executors share")
         root = tempfile.mkdtemp(prefix="spinledger-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

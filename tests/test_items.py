@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from spinledger.functions import text
 from spinledger.operators.upsert import (
     items_json,
-    kpi_items,
+    to_items,
     upsert,
     with_complete_key,
     with_incomplete_key,
@@ -34,7 +34,7 @@ def test_items_cast_and_drop_other_columns(spark):
         "genre string, date string, listen_count bigint, unique_listeners bigint, "
         "total_listening_time_ms bigint, avg_listening_time_per_user_ms double, other string",
     )
-    items = kpi_items(rows, DAILY_GENRE_ITEM)
+    items = to_items(rows, DAILY_GENRE_ITEM)
     assert items.columns == list(DAILY_GENRE_ITEM)
     pop = items.where("genre = 'pop'").first()
     assert pop["listen_count"] == Decimal(4)
@@ -46,7 +46,7 @@ def test_items_cast_and_drop_other_columns(spark):
 
 def test_item_text_attributes(spark):
     rows = spark.createDataFrame([("2024-06-25", "01", None, 5)], "date string, rank string, genre string, listen_count int")
-    item = kpi_items(rows, TOP_GENRES_ITEM).first()
+    item = to_items(rows, TOP_GENRES_ITEM).first()
     assert (item["rank"], item["genre"], item["listen_count"]) == ("01", None, Decimal(5))
 
 
