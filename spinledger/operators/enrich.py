@@ -28,8 +28,12 @@ def enrich_streams(
         listen_time = iso_timestamp(listen_time)
     if join_hint:
         songs, users = songs.hint(join_hint), users.hint(join_hint)
+    keys = ["user_id", "track_id"]
+    rest = [name for side in (streams, songs, users) for name in side.columns if name not in keys]
+    # Users outgrow a broadcast first. Joined first, their shuffle moves bare plays,
+    # and the wide song columns are added after it.
     return (
-        streams.join(songs, "track_id", "inner")
-        .join(users, "user_id", "inner")
-        .withColumn("listen_date", F.to_date(listen_time))
+        streams.join(users, "user_id", "inner")
+        .join(songs, "track_id", "inner")
+        .select(*keys, *rest, F.to_date(listen_time).alias("listen_date"))
     )

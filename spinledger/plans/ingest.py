@@ -105,6 +105,8 @@ def ingest(
     ``rows`` mode only the bad records are set aside. Every step replaces what an
     earlier attempt at the same ``source_id`` wrote, so a failed run can be repeated.
     """
+    if not source_id or "/" in source_id:
+        raise ValueError(f"source_id names a folder and must not be empty or hold a slash: {source_id!r}")
     metrics = validate(spark, lines, empty_files, layout, source_id, mode=mode)
     metrics |= transform(spark, lines, songs, users, layout, source_id, mode=mode, rebalance=rebalance)
     metrics |= load(spark, layout, source_id)

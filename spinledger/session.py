@@ -14,6 +14,9 @@ SETTINGS = {
     # a shuffled join into a broadcast one when the measured side is small.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Also where an aggregation by the join key follows: an extra shuffle of what it
+    # counted is cheap next to a task that holds a third of all plays.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Joins carry no broadcast hints. Catalyst broadcasts a reference table only
     # while its size is within this bound; a larger one is joined by shuffle.

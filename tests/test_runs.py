@@ -87,6 +87,12 @@ def test_row_mode_sets_single_records_aside(spark, songs, users, tmp_path):
     assert daily(spark, layout) == [("2024-06-25", "pop", 2)]
 
 
+def test_source_id_must_be_a_folder_name(spark, songs, users, tmp_path):
+    path = put(tmp_path, "a.csv", "u1,t1,2024-06-25")
+    with pytest.raises(ValueError, match="source_id"):
+        run_batch(spark, path, songs, users, Layout(str(tmp_path / "t")), source_id="a/b")
+
+
 def test_unknown_mode_raises(spark, songs, users, tmp_path):
     path = put(tmp_path, "a.csv", "u1,t1,2024-06-25")
     with pytest.raises(ValueError, match="mode"):
