@@ -28,20 +28,22 @@ _RECORD_OPTIONS = {
     # A quote inside a quoted field is written twice.
     "escape": '"',
 }
+_INSTANT = "_instant"
 _RECORD_DDL = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in STREAM_RECORD.fields)
 
 
 def judge_lines(lines: DataFrame) -> DataFrame:
-    """Add the parsed fields and ``reason``, the first rule a line breaks or null.
+    """Add the parsed fields, the instant of ``listen_time`` and ``reason``, the first
+    rule a line breaks or null.
 
     Rules apply in the order width, empty field, timestamp. The header line is a
     line like any other here, so its reason is never null.
     """
-    # A generator of one row instead of a plain column: filters on what was parsed
-    # then stay above the parse, which Catalyst would otherwise repeat in them once
-    # per use of a field.
+    # Generators of one row instead of plain columns: filters on what was parsed then
+    # stay above the parse, which Catalyst would otherwise repeat in them once per use.
     record = F.inline(F.array(F.from_csv("value", _RECORD_DDL, _RECORD_OPTIONS)))
-    return lines.select("*", record).withColumn("reason", _reason())
+    instant = F.explode(F.array(iso_timestamp(F.col("listen_time")))).alias(_INSTANT)
+    return lines.select("*", record).select("*", instant).withColumn("reason", _reason())
 
 
 def _reason() -> Column:
@@ -57,7 +59,7 @@ def _reason() -> Column:
             WIDTH,
         )
         .when(empty, EMPTY)
-        .when(iso_timestamp(F.col("listen_time")).isNull(), NOT_ISO)
+        .when(F.col(_INSTANT).isNull(), NOT_ISO)
     )
 
 
@@ -72,7 +74,7 @@ def _is_header() -> Column:
 def good_plays(judged: DataFrame) -> DataFrame:
     """Typed plays of the lines that break no rule. Headers drop out with the rest."""
     return judged.where(F.col("reason").isNull()).select(
-        "file", "user_id", "track_id", iso_timestamp(F.col("listen_time")).alias("listen_time")
+        "file", "user_id", "track_id", F.col(_INSTANT).alias("listen_time")
     )
 
 
