@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 
 from .components import components
 from .setsketch import Shape, band_keys, can_reach, sketches
-from .tables import document_rows, small_batches, stored, table
+from .tables import document_rows, prepare, stored, table
 from .words import SPACES, binary_array, distinct_by_text, mix, shingle_keys, text_chunks, words_of
 
 # Fixed value: links need 100 * intersection >= PERCENT * union.
@@ -42,7 +42,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = PERC
     doc_id of a component all are kept. Other columns are ignored. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    prepare(spark)
     rows = document_rows(docs)
     sets = stored(rows.mapInArrow(_sketch_rows(shingle_words, shape), f"{_SETS}, registers binary"), "sets")
     named = sets.where("n_shingles > 0 and doc_id is not null")

@@ -2,10 +2,24 @@
 
 from __future__ import annotations
 
+from . import decontamination, line_dedup
+from .decontamination import op8_decontamination
+from .line_dedup import op7_line_dedup
 from .minhash_dedup import op1_near_duplicates
+from .packing import op6_packing
+from .quality import op4_quality
+from .toxicity import op3_toxicity
 
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
+    "op3_toxicity": op3_toxicity,
+    "op4_quality": op4_quality,
+    "op6_packing": op6_packing,
+    "op7_line_dedup": op7_line_dedup,
+    "op8_decontamination": op8_decontamination,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_line_dedup": line_dedup.SQL,
+    "op8_decontamination": decontamination.SQL,
+}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,15 +11,22 @@ from ..session import scratch_path
 
 # Rows per Arrow batch: texts are long, and a batch is what a Python worker holds at once.
 BATCH_ROWS = "1000"
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound what a Python worker holds at once; texts can be long."""
+def prepare(spark: SparkSession) -> None:
+    """Bound what a Python worker holds at once, and let workers find this package.
+
+    Where the package is installed or sent with ``--py-files`` the path changes nothing.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    environment = spark.sparkContext.environment
+    if _ROOT not in environment.get("PYTHONPATH", "").split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [environment.get("PYTHONPATH"), _ROOT]))
 
 
 def stored(frame: DataFrame, name: str) -> DataFrame:

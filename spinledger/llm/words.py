@@ -13,9 +13,10 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-# The two word classes, as the bytes that do NOT belong to a word.
+# The two word classes, as the bytes that do NOT belong to a word. They are
+# meant for lower-cased text; capital letters count as the small ones they become.
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
-NOT_ALPHANUMERIC = bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
+NOT_ALPHANUMERIC = bytes([*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
 
 # Texts are worked through in pieces of about so many bytes, whatever the batch holds.
 CHUNK_BYTES = 1 << 21
