@@ -2,24 +2,33 @@
 
 from __future__ import annotations
 
-from . import decontamination, line_dedup
+from . import decontamination, line_dedup, warc
 from .decontamination import op8_decontamination
 from .line_dedup import op7_line_dedup
+from .lm_scoring import op5_lm_scoring
 from .minhash_dedup import op1_near_duplicates
+from .nearest_vectors import op10_nearest_vectors
 from .packing import op6_packing
 from .quality import op4_quality
+from .secrets_scan import op2_secrets
 from .toxicity import op3_toxicity
+from .warc import op9_warc
 
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
+    "op2_secrets": op2_secrets,
     "op3_toxicity": op3_toxicity,
     "op4_quality": op4_quality,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_packing": op6_packing,
     "op7_line_dedup": op7_line_dedup,
     "op8_decontamination": op8_decontamination,
+    "op9_warc": op9_warc,
+    "op10_nearest_vectors": op10_nearest_vectors,
 }
 
 ORACLES: dict[str, str] = {
     "op7_line_dedup": line_dedup.SQL,
     "op8_decontamination": decontamination.SQL,
+    "op9_warc": warc.SQL,
 }
