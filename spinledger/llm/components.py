@@ -1,4 +1,4 @@
-"""Connected components of a table of links, in Spark joins only."""
+"""Components of a growing set of links, in Spark joins only."""
 
 from __future__ import annotations
 
@@ -8,42 +8,48 @@ from pyspark.sql import functions as F
 from .tables import stored
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, component): the smallest node reachable over (a, b) links, for linked nodes.
+def merged(labels: DataFrame | None, edges: DataFrame) -> DataFrame | None:
+    """(node, component) after further links (a, b); a node without a row is its own component.
 
-    Alternates the large-star and small-star steps, which shrink every component to a star
-    around its smallest node in about log^2 rounds. Each step is a grouped minimum with
-    partial aggregation and a join that adaptive execution can split at a hot node.
+    Component numbers are the smallest node of each. Every component that a link joins to
+    a smaller one hooks onto the smallest such, the hooks are followed to their ends, and
+    links that still join two components go round again: each round at least halves the
+    components that have links left. A link is small, and hot components are split by
+    partial aggregation and adaptive execution.
     """
-    links = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    before = _fingerprint(links)
     while True:
-        links = stored(_small_star(_large_star(links)), "links")
-        after = _fingerprint(links)
-        if after == before:
-            break
-        before = after
-    # Every link is now (node, smallest node).
-    return links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-        links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    )
-
-
-def _large_star(links: DataFrame) -> DataFrame:
-    """Larger neighbours of a node are linked to the smallest one around it."""
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    moved = both.join(least, "a").where("b > a")
-    return moved.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-
-
-def _small_star(links: DataFrame) -> DataFrame:
-    """Smaller neighbours of a node, and itself, are linked to the smallest of them."""
-    least = links.groupBy("a").agg(F.min("b").alias("m"))
-    moved = links.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
-
-
-def _fingerprint(links: DataFrame) -> tuple:
-    mixed = F.xxhash64("a", "b")
-    return tuple(links.agg(F.count(F.lit(1)), F.sum(F.shiftright(mixed, 8)), F.bit_xor(mixed)).first())
+        left = stored(_between(labels, edges), "links")
+        if left.isEmpty():
+            return labels
+        hooks = _followed(left.groupBy("a").agg(F.min("b").alias("b")))
+        moved = hooks.select(F.col("a").alias("node"), F.col("b").alias("component"))
+        if labels is not None:
+            changed = labels.join(hooks.select(F.col("a").alias("component"), F.col("b").alias("to")), "component", "left").select(
+                "node", F.coalesce("to", "component").alias("component")
+            )
+            moved = changed.unionByName(moved.join(labels, "node", "left_anti"))
+        labels, edges = stored(moved, "labels"), left
+
+
+def labelled(frame: DataFrame, labels: DataFrame | None, node: str, component: str) -> DataFrame:
+    """``frame`` with the component of a node column."""
+    if labels is None:
+        return frame.withColumn(component, F.col(node))
+    own = labels.select(F.col("node").alias(node), F.col("component").alias(component))
+    return frame.join(own, node, "left").withColumn(component, F.coalesce(component, node))
+
+
+def _between(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
+    """(larger, smaller) components that links still join."""
+    both = labelled(labelled(edges.select("a", "b"), labels, "a", "ca"), labels, "b", "cb")
+    return both.where("ca <> cb").select(F.greatest("ca", "cb").alias("a"), F.least("ca", "cb").alias("b")).distinct()
+
+
+def _followed(hooks: DataFrame) -> DataFrame:
+    """Hooks (a, b) with b < a, each replaced by the end of its chain; doubles the step each time."""
+    hooks = stored(hooks, "hooks")
+    while True:
+        further = hooks.select(F.col("a").alias("b"), F.col("b").alias("c"))
+        if hooks.join(further, "b", "left_semi").isEmpty():
+            return hooks
+        hooks = stored(hooks.join(further, "b", "left").select("a", F.coalesce("c", "b").alias("b")), "hooks")

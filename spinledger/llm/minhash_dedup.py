@@ -10,13 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .components import components
+from .components import labelled, merged
 from .setsketch import Shape, band_keys, can_reach, sketches
 from .tables import document_rows, prepare, stored, table
 from .words import SPACES, binary_array, distinct_by_text, mix, shingle_keys, text_chunks, words_of
 
 # Fixed value: links need 100 * intersection >= PERCENT * union.
 PERCENT = 80
+# So many times more pivots of a bucket are compared in each round than in the one before.
+GROWTH = 8
 _SETS = "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint"
 
 
@@ -31,7 +33,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = PERC
     How: documents with equal sets form one class, and only a class's sketch goes on, so a
     hot group of copies is one row. Classes meet in the buckets of their bands. In a bucket
     the smallest class is compared with the others; a bucket whose members are not yet in
-    one component gets further pivots, twice as many each round, until every pair that
+    one component gets further pivots, more each round, until every pair that
     could still join two components has been looked at. Nothing is capped. Pairs are
     filtered by the joint likelihood of their sketches and confirmed on the full sets. With
     the default shape a pair at the limit shares no bucket with probability 1e-8.
@@ -52,13 +54,9 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = PERC
         .select(F.monotonically_increasing_id().alias("cls"), "n_shingles", "d1", "d2", "one.doc_id", "one.registers"),
         "classes",
     )
-    links = _links(rows, classes, shingle_words, percent, shape)
-    linked = components(links)
+    labels = _links(rows, classes, shingle_words, percent, shape)
     # The smallest doc_id of each component, by way of the smallest of each class.
-    of_class = classes.select("cls", "n_shingles", "d1", "d2", "doc_id").join(
-        linked.withColumnRenamed("node", "cls"), "cls", "left"
-    ).withColumn("component", F.coalesce("component", "cls"))
-    of_class = stored(of_class, "class-components")
+    of_class = stored(labelled(classes.drop("registers"), labels, "cls", "component"), "class-components")
     smallest = of_class.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named_classes = of_class.join(smallest, "component").select("n_shingles", "d1", "d2", "component_id")
     plain = sets.select("doc_id", "n_shingles", "d1", "d2")
@@ -70,9 +68,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = PERC
     )
 
 
-def _links(rows: DataFrame, classes: DataFrame, shingle_words: int, percent: int, shape: Shape) -> DataFrame:
-    """Confirmed links (a, b) between classes that connect all that is connected."""
-    spark = rows.sparkSession
+def _links(rows: DataFrame, classes: DataFrame, shingle_words: int, percent: int, shape: Shape) -> DataFrame | None:
+    """(node, component) of the classes that confirmed links connect."""
     keys = classes.select("cls", "registers").mapInArrow(_band_rows(shape), "key bigint, cls bigint")
     crowded = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("cls").alias("first")).where("n > 1")
     members = stored(keys.join(crowded.select("key", "first"), "key").select("key", "cls", "first"), "members")
@@ -81,68 +78,45 @@ def _links(rows: DataFrame, classes: DataFrame, shingle_words: int, percent: int
         rows.join(involved.select("doc_id").distinct(), "doc_id", "left_semi")
         .mapInArrow(_set_rows(shingle_words), f"{_SETS}, shingles binary")
         .drop("doc_id")
-        .join(involved.select("cls", "n_shingles", "d1", "d2", "doc_id"), ["n_shingles", "d1", "d2"])
+        .join(involved.select("cls", "n_shingles", "d1", "d2"), ["n_shingles", "d1", "d2"])
         .groupBy("cls").agg(F.first("shingles").alias("shingles")),
         "exact-sets",
     )
-    edges = stored(spark.createDataFrame([], "a bigint, b bigint"), "edges")
-    tried = None
-    labels = None
-    pivots = 0
+    # First the smallest member of each bucket, known from the grouping.
+    pairs = members.where("cls <> first").select(F.col("first").alias("a"), F.col("cls").alias("b")).distinct()
+    pending = stored(_credible(pairs, involved, percent, shape), "credible")
+    # One link per class to begin with; the rest is checked only where it still joins something.
+    chosen = stored(pending.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "chosen")
+    labels = merged(None, _confirmed(chosen, exact, percent))
+    rest = _apart(pending.join(chosen, ["a", "b"], "left_anti"), labels)
+    labels = merged(labels, _confirmed(rest, exact, percent))
+
+    ranked, begin, end = None, 1, 1 + GROWTH
     while True:
-        if pivots == 0:
-            # First the smallest member of each bucket, known from the grouping: no sort.
-            pairs = members.where("cls <> first").select(F.col("first").alias("a"), F.col("cls").alias("b")).distinct()
-            pivots = 1
+        open_members = members.select("key", "cls") if ranked is None else ranked.where(F.col("rank") > begin)
+        now = labelled(open_members, labels, "cls", "component")
+        if ranked is None:
+            # The first pivot has met every other member already.
+            now = now.join(members.select("key", F.col("first").alias("cls")).distinct(), ["key", "cls"], "left_anti")
+        mixed = now.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
+        if ranked is None:
+            in_order = Window.partitionBy("key").orderBy("cls")
+            ranked = members.join(mixed, "key", "left_semi").select("key", "cls", F.row_number().over(in_order).alias("rank"))
         else:
-            labelled = _labelled(members.select("key", "cls"), labels)
-            mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-            left = stored(labelled.join(mixed.select("key"), "key", "left_semi"), "mixed")
-            ranked = left.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("cls")))
-            chosen = ranked.where((F.col("rank") <= 2 * pivots + 1)).select("key", F.col("cls").alias("a"), F.col("component").alias("ca"))
-            pairs = (
-                chosen.join(left, "key")
-                .where("cls > a and component <> ca")
-                .select("a", F.col("cls").alias("b"))
-                .distinct()
-                .join(tried, ["a", "b"], "left_anti")
-            )
-            pivots = 2 * pivots + 1
-            deepest = left.groupBy("key").count().agg(F.max("count")).first()[0] or 0
-            if deepest == 0:
-                return edges
-        fresh = stored(pairs, "pairs")
-        tried = fresh if tried is None else tried.unionByName(fresh)
-        pending = stored(_apart(_credible(fresh, involved, percent, shape), labels), "credible")
-        # One link per class to begin with; the rest is checked only where it still joins something.
-        chosen = stored(pending.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "chosen")
-        edges, labels = _extended(edges, labels, chosen, exact, percent)
-        rest = stored(_apart(pending.join(chosen, ["a", "b"], "left_anti"), labels), "rest")
-        edges, labels = _extended(edges, labels, rest, exact, percent)
-        if pivots > 1 and pivots >= deepest:
-            return edges
-
-
-def _extended(edges: DataFrame, labels: DataFrame | None, pairs: DataFrame, exact: DataFrame, percent: int):
-    """Links and components with those of ``pairs`` that the full sets confirm."""
-    if labels is not None and pairs.isEmpty():
-        return edges, labels
-    edges = stored(edges.unionByName(_confirmed(pairs, exact, percent)), "edges")
-    return edges, stored(components(edges), "labels")
-
-
-def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
-    joined = members.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
-    return joined.withColumn("component", F.coalesce("component", "cls"))
+            ranked = ranked.join(mixed, "key", "left_semi")
+        ranked = stored(ranked, "mixed")
+        if ranked.isEmpty():
+            return labels
+        placed = labelled(ranked.where(F.col("rank") > begin), labels, "cls", "component")
+        pivots = placed.where(F.col("rank") <= end).select("key", F.col("cls").alias("a"), F.col("rank").alias("at"), F.col("component").alias("ca"))
+        pairs = pivots.join(placed, "key").where("rank > at and component <> ca").select("a", F.col("cls").alias("b")).distinct()
+        labels = merged(labels, _confirmed(_credible(pairs, involved, percent, shape), exact, percent))
+        begin, end = end, end * GROWTH
 
 
 def _apart(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
     """The pairs whose sides are not in one component yet."""
-    if labels is None:
-        return pairs
-    for side in ("a", "b"):
-        pairs = pairs.join(labels.select(F.col("node").alias(side), F.col("component").alias(f"c{side}")), side, "left")
-    return pairs.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+    return labelled(labelled(pairs, labels, "a", "ca"), labels, "b", "cb").where("ca <> cb").select("a", "b")
 
 
 def _credible(pairs: DataFrame, involved: DataFrame, percent: int, shape: Shape) -> DataFrame:
