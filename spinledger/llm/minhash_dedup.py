@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,26 +18,31 @@ from .words import SPACES, binary_array, distinct_by_text, mix, shingle_keys, te
 
 # Fixed value: links need 100 * intersection >= PERCENT * union.
 PERCENT = 80
-# So many times more pivots of a bucket are compared in each round than in the one before.
-GROWTH = 8
+# Classes of a bucket whose likely similarity with its smallest one is this belong to its family.
+RELATED = 0.55
+# Members of a chunk of a family, and shingles that a membership matrix has columns for.
+CHUNK = 512
+COLUMNS = 8192
 _SETS = "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint"
+_TEXT_KEY = "_text_key"
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = PERCENT, shape: Shape = Shape()) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
+    """(doc_id, n_shingles, component_id, kept, text_key) for every row of ``docs``.
 
     A document's set holds the distinct runs of ``shingle_words`` lower-cased words of its
     whole text; with fewer words, the one run of all of them. Two documents are linked if
     their sets overlap by ``percent``; ``component_id`` is the smallest doc_id reachable
-    over links and ``kept`` marks the document of that id.
+    over links and ``kept`` marks the document of that id. ``text_key`` is a hash of the text.
 
     How: documents with equal sets form one class, and only a class's sketch goes on, so a
-    hot group of copies is one row. Classes meet in the buckets of their bands. In a bucket
-    the smallest class is compared with the others; a bucket whose members are not yet in
-    one component gets further pivots, more each round, until every pair that
-    could still join two components has been looked at. Nothing is capped. Pairs are
-    filtered by the joint likelihood of their sketches and confirmed on the full sets. With
-    the default shape a pair at the limit shares no bucket with probability 1e-8.
+    hot group of copies is one row. Classes meet the smallest class of each bucket of their
+    bands; the joint likelihood of two sketches tells which of them belong together as a
+    family, and the full sets confirm a first link for each class. Only families that are
+    not one component then are compared member by member, in blocks of bounded size, so
+    that no link between their texts is lost; a block gives back the links that connect
+    something, not its pairs. Nothing is capped. With the default shape a pair at the limit
+    shares no bucket with probability 1e-8.
 
     A null or empty text, or one without words, has an empty set and is linked with
     nothing. A row without doc_id cannot be named: its component is null and it is kept.
@@ -46,7 +52,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = PERC
     spark = docs.sparkSession
     prepare(spark)
     rows = document_rows(docs)
-    sets = stored(rows.mapInArrow(_sketch_rows(shingle_words, shape), f"{_SETS}, registers binary"), "sets")
+    keyed = rows.withColumn("text_key", F.xxhash64("text"))
+    sets = stored(keyed.mapInArrow(_sketch_rows(shingle_words, shape), f"{_SETS}, registers binary, text_key bigint"), "sets")
     named = sets.where("n_shingles > 0 and doc_id is not null")
     classes = stored(
         named.groupBy("n_shingles", "d1", "d2")
@@ -59,82 +66,132 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = PERC
     of_class = stored(labelled(classes.drop("registers"), labels, "cls", "component"), "class-components")
     smallest = of_class.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named_classes = of_class.join(smallest, "component").select("n_shingles", "d1", "d2", "component_id")
-    plain = sets.select("doc_id", "n_shingles", "d1", "d2")
+    plain = sets.select("doc_id", "n_shingles", "d1", "d2", "text_key")
     joined = plain.join(named_classes, ["n_shingles", "d1", "d2"], "left")
     has_set = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     component = F.when(has_set, F.col("component_id")).otherwise(F.col("doc_id"))
     return joined.select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept")
+        "doc_id",
+        "n_shingles",
+        component.alias("component_id"),
+        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+        "text_key",
     )
 
 
 def _links(rows: DataFrame, classes: DataFrame, shingle_words: int, percent: int, shape: Shape) -> DataFrame | None:
     """(node, component) of the classes that confirmed links connect."""
     keys = classes.select("cls", "registers").mapInArrow(_band_rows(shape), "key bigint, cls bigint")
-    crowded = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("cls").alias("first")).where("n > 1")
-    members = stored(keys.join(crowded.select("key", "first"), "key").select("key", "cls", "first"), "members")
-    involved = stored(classes.join(members.select("cls").distinct(), "cls", "left_semi"), "involved")
+    crowded = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("cls").alias("first")).where("n > 1").select("key", "first")
+    met = keys.join(crowded, "key").where("cls <> first").select(F.col("first").alias("a"), F.col("cls").alias("b")).distinct()
+    related = stored(_estimated(met, classes, percent, shape), "related")
+    families = merged(None, related)
+    if families is None:
+        return None
+    sizes = classes.select("cls", "n_shingles", "d1", "d2", "doc_id")
+    wanted = stored(sizes.join(families.select(F.col("node").alias("cls")).unionByName(families.select(F.col("component").alias("cls"))).distinct(), "cls"), "wanted")
     exact = stored(
-        rows.join(involved.select("doc_id").distinct(), "doc_id", "left_semi")
+        rows.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
         .mapInArrow(_set_rows(shingle_words), f"{_SETS}, shingles binary")
         .drop("doc_id")
-        .join(involved.select("cls", "n_shingles", "d1", "d2"), ["n_shingles", "d1", "d2"])
+        .join(wanted.drop("doc_id"), ["n_shingles", "d1", "d2"])
         .groupBy("cls").agg(F.first("shingles").alias("shingles")),
         "exact-sets",
     )
-    # First the smallest member of each bucket, known from the grouping.
-    pairs = members.where("cls <> first").select(F.col("first").alias("a"), F.col("cls").alias("b")).distinct()
-    pending = stored(_credible(pairs, involved, percent, shape), "credible")
-    # One link per class to begin with; the rest is checked only where it still joins something.
-    chosen = stored(pending.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "chosen")
+    # Each class is checked against the smallest one it seems linked with: most families
+    # are one component then, and need no further look.
+    chosen = related.where("credible").groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     labels = merged(None, _confirmed(chosen, exact, percent))
-    rest = _apart(pending.join(chosen, ["a", "b"], "left_anti"), labels)
-    labels = merged(labels, _confirmed(rest, exact, percent))
-
-    ranked, begin, end = None, 1, 1 + GROWTH
-    while True:
-        open_members = members.select("key", "cls") if ranked is None else ranked.where(F.col("rank") > begin)
-        now = labelled(open_members, labels, "cls", "component")
-        if ranked is None:
-            # The first pivot has met every other member already.
-            now = now.join(members.select("key", F.col("first").alias("cls")).distinct(), ["key", "cls"], "left_anti")
-        mixed = now.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-        if ranked is None:
-            in_order = Window.partitionBy("key").orderBy("cls")
-            ranked = members.join(mixed, "key", "left_semi").select("key", "cls", F.row_number().over(in_order).alias("rank"))
-        else:
-            ranked = ranked.join(mixed, "key", "left_semi")
-        ranked = stored(ranked, "mixed")
-        if ranked.isEmpty():
-            return labels
-        placed = labelled(ranked.where(F.col("rank") > begin), labels, "cls", "component")
-        pivots = placed.where(F.col("rank") <= end).select("key", F.col("cls").alias("a"), F.col("rank").alias("at"), F.col("component").alias("ca"))
-        pairs = pivots.join(placed, "key").where("rank > at and component <> ca").select("a", F.col("cls").alias("b")).distinct()
-        labels = merged(labels, _confirmed(_credible(pairs, involved, percent, shape), exact, percent))
-        begin, end = end, end * GROWTH
-
-
-def _apart(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """The pairs whose sides are not in one component yet."""
-    return labelled(labelled(pairs, labels, "a", "ca"), labels, "b", "cb").where("ca <> cb").select("a", "b")
-
-
-def _credible(pairs: DataFrame, involved: DataFrame, percent: int, shape: Shape) -> DataFrame:
+    return merged(labels, _family_links(families, labels, exact, percent))
+
+
+def _family_links(families: DataFrame, labels: DataFrame | None, exact: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) inside families that are not one component, at most one per member and block.
+
+    A family is cut into chunks of bounded size, ordered by component. Every two chunks
+    that hold different components meet in a task of their own, where their sets are
+    compared exactly by products of membership matrices.
+    """
+    nodes = families.select("component", F.col("node").alias("cls")).unionByName(families.select("component", F.col("component").alias("cls")).distinct())
+    members = labelled(nodes.withColumnRenamed("component", "family"), labels, "cls", "component")
+    mixed = members.groupBy("family").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("family")
+    in_order = Window.partitionBy("family").orderBy("component", "cls")
+    placed = stored(
+        members.join(mixed, "family", "left_semi").withColumn("chunk", F.floor((F.row_number().over(in_order) - 1) / F.lit(CHUNK)).cast("int")),
+        "family-members",
+    )
+    chunks = placed.groupBy("family", "chunk").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    one = chunks.select("family", F.col("chunk").alias("one"), F.col("lo").alias("lo_1"), F.col("hi").alias("hi_1"))
+    two = chunks.select("family", F.col("chunk").alias("two"), F.col("lo").alias("lo_2"), F.col("hi").alias("hi_2"))
+    # Two chunks of one and the same component have nothing to find.
+    blocks = one.join(two, "family").where("one <= two and not (lo_1 = hi_1 and lo_2 = hi_2 and lo_1 = lo_2)").select("family", "one", "two")
+    uses = blocks.select("family", "one", "two", F.col("one").alias("chunk")).unionByName(
+        blocks.where("one <> two").select("family", "one", "two", F.col("two").alias("chunk"))
+    )
+    rows = placed.join(exact, "cls").join(uses, ["family", "chunk"]).select("family", "one", "two", "chunk", "cls", "component", "shingles")
+    return rows.groupBy("family", "one", "two").applyInPandas(_block_links(percent), "a bigint, b bigint")
+
+
+def _block_links(percent: int):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        first = int(rows["one"].iloc[0])
+        left = rows[rows["chunk"] == first].sort_values("cls")
+        right = left if rows["two"].iloc[0] == first else rows[rows["chunk"] != first].sort_values("cls")
+        root: dict[int, int] = {}
+
+        def end(node: int) -> int:
+            while root.get(node, node) != node:
+                root[node] = root.get(root[node], root[node])
+                node = root[node]
+            return node
+
+        linked = _linked_pairs(list(left["shingles"]), list(right["shingles"]), percent)
+        links = []
+        for i, j in zip(*linked, strict=True):
+            sides = end(int(left["component"].iloc[i])), end(int(right["component"].iloc[j]))
+            if sides[0] != sides[1]:
+                root[max(sides)] = min(sides)
+                links.append((int(left["cls"].iloc[i]), int(right["cls"].iloc[j])))
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    return run
+
+
+def _linked_pairs(left: list[bytes], right: list[bytes], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of all pairs whose sets overlap enough, by exact counts of what they share."""
+    sides = [[np.frombuffer(own, np.uint64) for own in side] for side in (left, right)]
+    elements, column = np.unique(np.concatenate([*sides[0], *sides[1]]), return_inverse=True)
+    sizes = [np.array([len(own) for own in side]) for side in sides]
+    owner = np.repeat(np.arange(len(left) + len(right)), np.concatenate(sizes))
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    shared = np.zeros((len(left), len(right)), np.float32)
+    for begin in range(0, len(elements), COLUMNS):
+        a, b = np.searchsorted(column, [begin, begin + COLUMNS])
+        # Counts below 2**24 are exact in single precision.
+        held = np.zeros((len(left) + len(right), min(COLUMNS, len(elements) - begin)), np.float32)
+        held[owner[a:b], column[a:b] - begin] = 1
+        shared += held[: len(left)] @ held[len(left) :].T
+    both = shared.astype(np.int64)
+    return np.nonzero(100 * both >= percent * (sizes[0][:, None] + sizes[1][None, :] - both))
+
+
+def _estimated(pairs: DataFrame, classes: DataFrame, percent: int, shape: Shape) -> DataFrame:
+    """Pairs whose likely similarity is RELATED at least; ``credible`` if the limit is possible too."""
     for side in ("a", "b"):
-        one = involved.select(F.col("cls").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("registers").alias(f"r_{side}"))
+        one = classes.select(F.col("cls").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("registers").alias(f"r_{side}"))
         pairs = pairs.join(one, side)
-        if side == "b":
-            # Sizes alone rule out most accidental meetings.
-            pairs = pairs.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sides = [_matrix(batch.column(f"r_{side}"), np.int16) for side in ("a", "b")]
             sizes = [batch.column(f"n_{side}").to_numpy() for side in ("a", "b")]
-            good = can_reach(*sides, *sizes, percent / 100, shape.base)
-            yield batch.select(["a", "b"]).filter(pa.array(good))
+            credible = can_reach(*sides, *sizes, percent / 100, shape.base)
+            good = pa.array(credible | can_reach(*sides, *sizes, RELATED, shape.base, 0.0))
+            chosen = batch.select(["a", "b"])
+            yield pa.RecordBatch.from_arrays([*chosen.columns, pa.array(credible)], ["a", "b", "credible"]).filter(good)
 
-    return pairs.mapInArrow(keep, "a bigint, b bigint")
+    return pairs.mapInArrow(keep, "a bigint, b bigint, credible boolean")
 
 
 def _confirmed(pairs: DataFrame, exact: DataFrame, percent: int) -> DataFrame:
@@ -165,7 +222,7 @@ def _matrix(column: pa.Array, dtype) -> np.ndarray:
 
 
 def _text_sets(batch: pa.RecordBatch, shingle_words: int):
-    """(doc_ids, sorted distinct shingles, offsets, digests) per run of texts."""
+    """(number of the first text, doc_ids, sorted distinct shingles, offsets, digests) per run of texts."""
     for first, data, offsets in text_chunks(batch.column("text")):
         texts = len(offsets) - 1
         doc, keys = shingle_keys(words_of(data, offsets, SPACES), shingle_words)
@@ -176,18 +233,19 @@ def _text_sets(batch: pa.RecordBatch, shingle_words: int):
             sums = np.zeros(len(shingles) + 1, np.uint64)
             np.cumsum(mix(shingles ^ np.uint64(salt)), out=sums[1:])
             digests.append((sums[ends[1:]] - sums[ends[:-1]]).view(np.int64))
-        yield batch.column("doc_id").slice(first, texts), shingles, ends, digests
+        yield first, batch.column("doc_id").slice(first, texts), shingles, ends, digests
 
 
 def _sketch_rows(shingle_words: int, shape: Shape):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, shingles, ends, digests in _text_sets(batch, shingle_words):
+            for first, ids, shingles, ends, digests in _text_sets(batch, shingle_words):
                 counts = np.diff(ends)
                 registers = sketches(shingles, counts, shape)
                 packed = binary_array(registers.reshape(-1), np.full(len(counts), shape.registers))
                 yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(counts), *map(pa.array, digests), packed], ["doc_id", "n_shingles", "d1", "d2", "registers"]
+                    [ids, pa.array(counts), *map(pa.array, digests), packed, batch.column("text_key").slice(first, len(counts))],
+                    ["doc_id", "n_shingles", "d1", "d2", "registers", "text_key"],
                 )
 
     return run
@@ -196,7 +254,7 @@ def _sketch_rows(shingle_words: int, shape: Shape):
 def _set_rows(shingle_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, shingles, ends, digests in _text_sets(batch, shingle_words):
+            for first, ids, shingles, ends, digests in _text_sets(batch, shingle_words):
                 counts = np.diff(ends)
                 yield pa.RecordBatch.from_arrays(
                     [ids, pa.array(counts), *map(pa.array, digests), binary_array(shingles, counts)],
@@ -216,5 +274,19 @@ def _band_rows(shape: Shape):
     return run
 
 
+def deduplicated(docs: DataFrame, shingle_words: int, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one document of each group of near copies, that of the smallest doc_id.
+
+    Rows without a doc_id stay, as do documents without words. Of rows that repeat both the
+    doc_id and the text one stays; rows that repeat only the doc_id are told apart by text.
+    """
+    key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    named = docs.where(F.col("doc_id").isNotNull()).withColumn(_TEXT_KEY, key)
+    kept = near_duplicates(docs, shingle_words, percent).where("kept and doc_id is not null")
+    stay = kept.select("doc_id", F.col("text_key").alias(_TEXT_KEY)).distinct()
+    one = named.join(stay, ["doc_id", _TEXT_KEY], "left_semi").dropDuplicates(["doc_id", _TEXT_KEY])
+    return one.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+
+
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")

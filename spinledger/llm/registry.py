@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from . import decontamination, line_dedup, warc
 from .decontamination import op8_decontamination
 from .line_dedup import op7_line_dedup
@@ -25,6 +27,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_warc": op9_warc,
     "op10_nearest_vectors": op10_nearest_vectors,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {
@@ -32,3 +35,6 @@ ORACLES: dict[str, str] = {
     "op8_decontamination": decontamination.SQL,
     "op9_warc": warc.SQL,
 }
+
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
