@@ -13,10 +13,10 @@ def roots(spark, tmp_path):
     (raw / "streams").mkdir(parents=True)
     (raw / "reference").mkdir()
     (raw / "reference" / "songs.csv").write_text(
-        "track_id,track_name,track_genre,artists,duration_ms\nt1,Pop Hit,pop,A,200000\n"
+        "track_id,track_name,track_genre,artists,duration_ms\nt1,Harbour,folk,Ida,61000\n"
     )
     (raw / "reference" / "users.csv").write_text("user_id,user_name,user_age,user_country\n7,Alice,25,UK\n")
-    (raw / "streams" / "a.csv").write_text("user_id,track_id,listen_time\n7,t1,2024-06-25 17:43:13\n")
+    (raw / "streams" / "a.csv").write_text("user_id,track_id,listen_time\n7,t1,2023-11-02 08:05:09\n")
     (raw / "streams" / "bad.csv").write_text("user_id,track_id,listen_time\n7,t1,nope\n")
     return raw, str(tmp_path / "tables"), str(tmp_path / "archive")
 
@@ -36,7 +36,7 @@ def test_steps_one_after_the_other(spark, roots):
     assert main(arguments("validate", raw, root, *key, tables=False)) == 0
     assert main(arguments("transform", raw, root, *key)) == 0
     assert main(arguments("load", raw, root, *key, tables=False)) == 0
-    assert plays(spark, root) == [("pop", "2024-06-25", 1)]
+    assert plays(spark, root) == [("folk", "2024-06-25", 1)]
 
 
 def test_validate_fails_on_a_bad_file(roots):
@@ -54,12 +54,12 @@ def test_run_with_archive(spark, roots):
     raw, root, archive = roots
     more = ["--object-key", "streams/a.csv", "--archive-root", archive]
     assert main(arguments("run", raw, root, *more)) == 0
-    assert plays(spark, root) == [("pop", "2024-06-25", 1)]
+    assert plays(spark, root) == [("folk", "2024-06-25", 1)]
     assert not (raw / "streams" / "a.csv").exists()
 
 
 def test_stream_job(spark, roots, tmp_path):
     raw, root, _ = roots
     assert main(arguments("stream", raw, root, "--checkpoint", str(tmp_path / "cp"))) == 0
-    assert plays(spark, root) == [("pop", "2024-06-25", 1)]
+    assert plays(spark, root) == [("folk", "2024-06-25", 1)]
     assert spark.read.parquet(Layout(root).quarantine).count() == 1

@@ -14,14 +14,14 @@ HEADER = "user_id,track_id,listen_time"
 @pytest.fixture(scope="module")
 def songs(spark):
     return spark.createDataFrame(
-        [("t1", "Pop Hit", "pop", 200000), ("t3", "Rock One", "rock", 250000)],
+        [("t1", "Harbour", "folk", 61000), ("t3", "Echo", "dub", 240000)],
         "track_id string, track_name string, track_genre string, duration_ms bigint",
     )
 
 
 @pytest.fixture(scope="module")
 def users(spark):
-    return spark.createDataFrame([("u1", "Alice"), ("u2", "Bob")], "user_id string, user_name string")
+    return spark.createDataFrame([("u1", "Ann"), ("u2", "Ben")], "user_id string, user_name string")
 
 
 def put(folder, name, *rows, header=HEADER):
@@ -50,7 +50,7 @@ def test_one_file_end_to_end(spark, songs, users, tmp_path):
         "dates_touched": 2, "daily_genre_items": 2, "top_songs_items": 2, "top_genres_items": 2,
         "rejected_items": 0,
     }
-    assert daily(spark, layout) == [("2024-06-25", "pop", 1), ("2024-06-26", "rock", 1)]
+    assert daily(spark, layout) == [("2024-06-25", "folk", 1), ("2024-06-26", "dub", 1)]
     assert read_dates_manifest(spark, layout.manifest("a")) == ["2024-06-25", "2024-06-26"]
     stored = spark.read.parquet(layout.run_metrics).first().asDict()
     assert stored.pop("source_id") == "a" and stored == metrics
@@ -84,7 +84,7 @@ def test_row_mode_sets_single_records_aside(spark, songs, users, tmp_path):
         ("mixed.csv", "empty value in required field", 3),
         ("mixed.csv", "is not ISO datetime", 5),
     ]
-    assert daily(spark, layout) == [("2024-06-25", "pop", 2)]
+    assert daily(spark, layout) == [("2024-06-25", "folk", 2)]
 
 
 def test_source_id_must_be_a_folder_name(spark, songs, users, tmp_path):
@@ -110,7 +110,7 @@ def test_rerun_counts_once(spark, songs, users, tmp_path):
     path = put(tmp_path, "a.csv", "u1,t1,2024-06-25", "u2,t1,2024-06-25")
     for _ in range(2):
         run_batch(spark, path, songs, users, layout)
-    assert daily(spark, layout) == [("2024-06-25", "pop", 2)]
+    assert daily(spark, layout) == [("2024-06-25", "folk", 2)]
     assert spark.read.parquet(layout.run_metrics).count() == 1
 
 
@@ -121,7 +121,7 @@ def test_corrected_file_takes_back_its_old_day(spark, songs, users, tmp_path):
     put(tmp_path, "a.csv", "u1,t1,2024-06-25")
     metrics = run_batch(spark, path, songs, users, layout)
     assert metrics["dates_touched"] == 2
-    assert daily(spark, layout) == [("2024-06-25", "pop", 1)]
+    assert daily(spark, layout) == [("2024-06-25", "folk", 1)]
     assert read_enriched(spark, layout.enriched).count() == 1
 
 
@@ -133,7 +133,7 @@ def test_corrected_file_leaves_the_quarantine(spark, songs, users, tmp_path):
     put(tmp_path, "a.csv", "u1,t1,2024-06-25")
     run_batch(spark, path, songs, users, layout, source_id="a")
     assert spark.read.parquet(slice_path(layout.quarantine, "a")).count() == 0
-    assert daily(spark, layout) == [("2024-06-25", "pop", 1)]
+    assert daily(spark, layout) == [("2024-06-25", "folk", 1)]
 
 
 def test_archive_after_success_only(spark, songs, users, tmp_path):
@@ -159,13 +159,13 @@ def test_stream_takes_files_one_by_one_and_once(spark, songs, users, tmp_path):
     put(folder, "2024/b.csv", "u2,t3,2024-06-25")
     put(tmp_path / "raw" / "reference", "songs.csv", "u1,t1,2024-06-25")
     stream(folder, songs, users, layout, tmp_path)
-    assert daily(spark, layout) == [("2024-06-25", "pop", 1), ("2024-06-25", "rock", 1)]
+    assert daily(spark, layout) == [("2024-06-25", "folk", 1), ("2024-06-25", "dub", 1)]
     assert spark.read.parquet(layout.run_metrics).count() == 2
     # A late file for the same day; the first two are not taken again.
     put(folder, "c.csv", "u2,t1,2024-06-25", "u2,t1,2024-01-01")
     stream(folder, songs, users, layout, tmp_path)
     assert daily(spark, layout) == [
-        ("2024-01-01", "pop", 1), ("2024-06-25", "pop", 2), ("2024-06-25", "rock", 1),
+        ("2024-01-01", "folk", 1), ("2024-06-25", "folk", 2), ("2024-06-25", "dub", 1),
     ]
     assert spark.read.parquet(layout.run_metrics).count() == 3
 
@@ -176,7 +176,7 @@ def test_stream_sets_poison_aside_and_goes_on(spark, songs, users, tmp_path):
     (folder / "empty.csv").write_text("")
     put(folder, "good.csv", "u1,t1,2024-06-25")
     stream(folder, songs, users, layout, tmp_path, max_files_per_trigger=10)
-    assert daily(spark, layout) == [("2024-06-25", "pop", 1)]
+    assert daily(spark, layout) == [("2024-06-25", "folk", 1)]
     assert quarantined(spark, layout) == [("bad.csv", "is not ISO datetime", 2), ("empty.csv", "file is empty", None)]
 
 
@@ -185,7 +185,7 @@ def test_stream_archives_finished_files(spark, songs, users, tmp_path):
     for name in ("a.csv", "b.csv", "c.csv"):
         put(folder, name, "u1,t1,2024-06-25")
     stream(folder, songs, users, layout, tmp_path, archive_path=str(archive))
-    assert daily(spark, layout) == [("2024-06-25", "pop", 3)]
+    assert daily(spark, layout) == [("2024-06-25", "folk", 3)]
     archived = {path.name for path in archive.rglob("*.csv")}
     left = {path.name for path in folder.rglob("*.csv")}
     assert len(archived) >= 1 and archived | left == {"a.csv", "b.csv", "c.csv"} and not archived & left
@@ -200,5 +200,5 @@ def test_repeated_micro_batch_counts_once(spark, songs, users, tmp_path):
     commit.unlink()
     (tmp_path / "checkpoint" / "commits" / ".0.crc").unlink(missing_ok=True)
     stream(folder, songs, users, layout, tmp_path)
-    assert daily(spark, layout) == [("2024-06-25", "pop", 1)]
+    assert daily(spark, layout) == [("2024-06-25", "folk", 1)]
     assert read_enriched(spark, layout.enriched).count() == 1

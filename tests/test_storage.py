@@ -12,7 +12,7 @@ from spinledger.sources import tables
 from spinledger.sources.csv_tables import read_songs, read_streams, read_users
 from spinledger.sources.paths import archive_input
 
-from test_kpis import D25, D26, PLAYS, SONGS, enriched_of
+from test_kpis import FIRST, PLAYS, SECOND, SONGS, enriched_of
 
 
 def test_csv_scans(spark, tmp_path):
@@ -39,9 +39,9 @@ def test_missing_input_raises(spark, tmp_path):
 
 def test_write_reports_rows_and_days(spark, tmp_path):
     path = str(tmp_path / "e")
-    assert tables.write_enriched(enriched_of(spark, PLAYS), path, "a") == (8, ["2024-06-25", "2024-06-26"])
+    assert tables.write_enriched(enriched_of(spark, PLAYS), path, "a") == (10, ["2023-11-02", "2023-11-05"])
     assert tables.write_enriched(enriched_of(spark, PLAYS).where("false"), path, "b") == (0, [])
-    assert tables.read_enriched(spark, path).count() == 8
+    assert tables.read_enriched(spark, path).count() == 10
 
 
 def test_rebalanced_write_gives_the_same_rows(spark, tmp_path):
@@ -54,8 +54,8 @@ def test_rebalanced_write_gives_the_same_rows(spark, tmp_path):
 
 def test_rerun_replaces_only_its_own_rows(spark, tmp_path):
     path = str(tmp_path / "e")
-    tables.write_enriched(enriched_of(spark, PLAYS[:4]), path, "a")
-    tables.write_enriched(enriched_of(spark, PLAYS[4:]), path, "b")
+    tables.write_enriched(enriched_of(spark, PLAYS[:6]), path, "a")
+    tables.write_enriched(enriched_of(spark, PLAYS[6:]), path, "b")
     tables.write_enriched(enriched_of(spark, PLAYS[:3]), path, "a")
     counts = tables.read_enriched(spark, path).groupBy("source_id").count()
     assert {row["source_id"]: row["count"] for row in counts.collect()} == {"a": 3, "b": 4}
@@ -68,17 +68,17 @@ def files_of(frame):
 def test_only_the_named_days_are_listed(spark, tmp_path):
     path = str(tmp_path / "e")
     tables.write_enriched(enriched_of(spark, PLAYS), path, "a")
-    one = tables.read_enriched(spark, path, ["2024-06-26"])
-    assert files_of(one) == {"2024-06-26"} and one.count() == 1
+    one = tables.read_enriched(spark, path, ["2023-11-05"])
+    assert files_of(one) == {"2023-11-05"} and one.count() == 3
     assert "listen_date" in one.columns
-    assert tables.read_enriched(spark, path, ["2024-06-26", "1999-01-01", "20240626"]).count() == 1
+    assert tables.read_enriched(spark, path, ["2023-11-05", "1999-01-01", "20231105"]).count() == 3
     assert tables.read_enriched(spark, path, ["1999-01-01"]).count() == 0
 
 
 def test_filter_on_the_day_prunes_partitions(spark, tmp_path):
     path = str(tmp_path / "e")
     tables.write_enriched(enriched_of(spark, PLAYS), path, "a")
-    frame = tables.read_enriched(spark, path).where(F.col("listen_date").cast("string").isin(["2024-06-26"]))
+    frame = tables.read_enriched(spark, path).where(F.col("listen_date").cast("string").isin(["2023-11-05"]))
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^\]]*cast\(listen_date", plan)
 
@@ -96,7 +96,7 @@ def test_refresh_writes_all_tables(spark, tmp_path):
     }
     daily = tables.read_kpis(spark, layout.daily_genre)
     assert dict(daily.dtypes)["date"] == "string" and daily.count() == 4
-    assert tables.read_kpis(spark, layout.top_songs, ["2024-06-26"]).count() == 1
+    assert tables.read_kpis(spark, layout.top_songs, ["2023-11-05"]).count() == 2
     assert files_count(spark, layout.daily_genre) == 2
 
 
@@ -108,7 +108,7 @@ def test_refresh_is_idempotent_and_leaves_other_days(spark, tmp_path):
     layout, dates = layout_with(spark, tmp_path, PLAYS)
     refresh_kpis(spark, layout, dates)
     before = sorted(map(tuple, tables.read_kpis(spark, layout.top_genres).collect()))
-    refresh_kpis(spark, layout, ["2024-06-25"])
+    refresh_kpis(spark, layout, ["2023-11-02"])
     refresh_kpis(spark, layout, dates)
     assert sorted(map(tuple, tables.read_kpis(spark, layout.top_genres).collect())) == before
 
@@ -116,11 +116,11 @@ def test_refresh_is_idempotent_and_leaves_other_days(spark, tmp_path):
 def test_late_arrival_refreshes_its_days_from_all_plays(spark, tmp_path):
     layout, dates = layout_with(spark, tmp_path, PLAYS)
     refresh_kpis(spark, layout, dates)
-    _, late = tables.write_enriched(enriched_of(spark, [("u7", "t4", D25)] * 9), layout.enriched, "late")
-    assert late == ["2024-06-25"]
+    _, late = tables.write_enriched(enriched_of(spark, [("gus", "s40", FIRST)] * 9), layout.enriched, "late")
+    assert late == ["2023-11-02"]
     refresh_kpis(spark, layout, late)
-    top = tables.read_kpis(spark, layout.top_genres).where("date = '2024-06-25'").orderBy("rank").collect()
-    assert [(row["genre"], row["listen_count"]) for row in top] == [("jazz", 10), ("pop", 4), ("rock", 2)]
+    top = tables.read_kpis(spark, layout.top_genres).where("date = '2023-11-02'").orderBy("rank").collect()
+    assert [(row["genre"], row["listen_count"]) for row in top] == [("opera", 9), ("folk", 5), ("dub", 2)]
 
 
 def test_shrunken_day_keeps_no_stale_ranks(spark, tmp_path):
@@ -128,17 +128,17 @@ def test_shrunken_day_keeps_no_stale_ranks(spark, tmp_path):
     refresh_kpis(spark, layout, dates)
     tables.write_enriched(enriched_of(spark, PLAYS[:1] + PLAYS[-1:]), layout.enriched, "a")
     refresh_kpis(spark, layout, dates)
-    songs = tables.read_kpis(spark, layout.top_songs, ["2024-06-25"])
-    assert [row["track_id"] for row in songs.collect()] == ["t1"]
+    songs = tables.read_kpis(spark, layout.top_songs, ["2023-11-02"])
+    assert [row["track_id"] for row in songs.collect()] == ["s20"]
 
 
 def test_emptied_day_is_cleared_everywhere(spark, tmp_path):
     layout, dates = layout_with(spark, tmp_path, PLAYS)
     refresh_kpis(spark, layout, dates)
-    tables.clear_partitions(spark, layout.enriched, ["listen_date=2024-06-26/source_id=a"])
-    refresh_kpis(spark, layout, ["2024-06-26"])
+    tables.clear_partitions(spark, layout.enriched, ["listen_date=2023-11-05/source_id=a"])
+    refresh_kpis(spark, layout, ["2023-11-05"])
     for table in (layout.daily_genre, layout.top_songs, layout.top_genres):
-        assert {row["date"] for row in tables.read_kpis(spark, table).collect()} == {"2024-06-25"}
+        assert {row["date"] for row in tables.read_kpis(spark, table).collect()} == {"2023-11-02"}
 
 
 def test_nothing_to_load(spark, tmp_path):
@@ -149,8 +149,8 @@ def test_nothing_to_load(spark, tmp_path):
 
 def test_rows_without_genre_are_reported_not_stored(spark, tmp_path):
     layout = Layout(str(tmp_path / "root"))
-    songs = SONGS | {"t0": ("No genre", None, 1)}
-    plays = PLAYS + [("u1", "t0", D26)] * 5
+    songs = SONGS | {"s00": ("No genre", None, 1)}
+    plays = PLAYS + [("ann", "s00", SECOND)] * 5
     _, dates = tables.write_enriched(enriched_of(spark, plays, songs), layout.enriched, "a")
     done = refresh_kpis(spark, layout, dates)
     assert (done["daily_genre_items"], done["top_songs_items"], done["rejected_items"]) == (4, 5, 2)
@@ -160,8 +160,8 @@ def test_rows_without_genre_are_reported_not_stored(spark, tmp_path):
         ("top_songs_per_genre", "null key: genre"),
     }
     # The genre is no key of the ranking, so its rank stands with the name left open.
-    top = tables.read_kpis(spark, layout.top_genres, ["2024-06-26"]).orderBy("rank").collect()
-    assert [(row["rank"], row["genre"], row["listen_count"]) for row in top] == [("01", None, 5), ("02", "pop", 1)]
+    top = tables.read_kpis(spark, layout.top_genres, ["2023-11-05"]).orderBy("rank").collect()
+    assert [(row["rank"], row["genre"], row["listen_count"]) for row in top] == [("01", None, 5), ("02", "opera", 2), ("03", "folk", 1)]
 
 
 def test_archive_keeps_the_key(spark, tmp_path):

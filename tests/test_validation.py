@@ -11,7 +11,7 @@ from spinledger.operators import validation as v
 from spinledger.sources.lines import read_lines, zero_length_files
 
 HEADER = "user_id,track_id,listen_time"
-GOOD = "1,abc,2024-06-25 17:43:13"
+GOOD = "1,k7,2024-06-25 08:05:09"
 
 
 def write(folder, name, content):
@@ -30,41 +30,41 @@ CASES = {
     # name: (content, ok, reason, line_no, row_count)
     "two_good": (f"{HEADER}\n{GOOD}\n{GOOD}\n", True, None, None, 2),
     "no_last_newline": (f"{HEADER}\n{GOOD}", True, None, None, 1),
-    "iso_t": (f"{HEADER}\n1,abc,2024-06-25T17:43:13\n", True, None, None, 1),
-    "date_only": (f"{HEADER}\n1,abc,2024-06-25\n", True, None, None, 1),
-    "hours_only": (f"{HEADER}\n1,abc,2024-06-25T17\n", True, None, None, 1),
-    "hours_offset": (f"{HEADER}\n1,abc,2024-06-25T17+02:00\n", True, None, None, 1),
-    "micros_offset": (f"{HEADER}\n1,abc,2024-06-25 17:43:13.123456-05:00\n", True, None, None, 1),
+    "iso_t": (f"{HEADER}\n1,k7,2024-06-25T08:05:09\n", True, None, None, 1),
+    "date_only": (f"{HEADER}\n1,k7,2024-06-25\n", True, None, None, 1),
+    "hours_only": (f"{HEADER}\n1,k7,2024-06-25T08\n", True, None, None, 1),
+    "hours_offset": (f"{HEADER}\n1,k7,2024-06-25T08+02:00\n", True, None, None, 1),
+    "micros_offset": (f"{HEADER}\n1,k7,2024-06-25 08:05:09.123456-05:00\n", True, None, None, 1),
     "crlf": (f"{HEADER}\r\n{GOOD}\r\n", True, None, None, 1),
     "quoted": (f'{HEADER}\n"1","a,b","2024-06-25"\n', True, None, None, 1),
     "doubled_quote": (f'{HEADER}\n1,"say ""hi"", ok",2024-06-25\n', True, None, None, 1),
     "quoted_header": (f'"user_id",track_id,"listen_time"\n{GOOD}\n', True, None, None, 1),
-    "blank_field": (f"{HEADER}\n ,abc,2024-06-25\n", True, None, None, 1),
+    "blank_field": (f"{HEADER}\n ,k7,2024-06-25\n", True, None, None, 1),
     "bom": (b"\xef\xbb\xbf" + f"{HEADER}\n{GOOD}\n".encode(), True, None, None, 1),
     "header_only": (f"{HEADER}\n", False, v.HEADER_ONLY, None, 0),
-    "wrong_header": (f"wrong,columns,here\n{GOOD}\n", False, v.BAD_HEADER, 1, 0),
+    "wrong_header": (f"listener,song,moment\n{GOOD}\n", False, v.BAD_HEADER, 1, 0),
     "upper_header": (f"USER_ID,track_id,listen_time\n{GOOD}\n", False, v.BAD_HEADER, 1, 0),
     "swapped_header": (f"track_id,user_id,listen_time\n{GOOD}\n", False, v.BAD_HEADER, 1, 0),
     "long_header": (f"{HEADER},extra\n{GOOD}\n", False, v.BAD_HEADER, 1, 0),
     "no_header": (f"{GOOD}\n{GOOD}\n", False, v.BAD_HEADER, 1, 0),
     "blank_header": (f"\n{HEADER}\n{GOOD}\n", False, v.BAD_HEADER, 1, 0),
-    "extra_field": (f"{HEADER}\n{GOOD},extra-field\n", False, v.WIDTH, 2, 0),
-    "short_row": (f"{HEADER}\n{GOOD}\n1,abc\n", False, v.WIDTH, 3, 1),
+    "extra_field": (f"{HEADER}\n{GOOD},surplus\n", False, v.WIDTH, 2, 0),
+    "short_row": (f"{HEADER}\n{GOOD}\n1,k7\n", False, v.WIDTH, 3, 1),
     "blank_line": (f"{HEADER}\n{GOOD}\n\n{GOOD}\n", False, v.WIDTH, 3, 1),
     "blank_end": (f"{HEADER}\n{GOOD}\n\n", False, v.WIDTH, 3, 1),
-    "no_user": (f"{HEADER}\n,abc,2024-06-25\n", False, v.EMPTY, 2, 0),
+    "no_user": (f"{HEADER}\n,k7,2024-06-25\n", False, v.EMPTY, 2, 0),
     "no_track": (f"{HEADER}\n1,,2024-06-25\n", False, v.EMPTY, 2, 0),
-    "no_time": (f"{HEADER}\n1,abc,\n", False, v.EMPTY, 2, 0),
-    "quoted_empty": (f'{HEADER}\n"",abc,2024-06-25\n', False, v.EMPTY, 2, 0),
-    "not_a_date": (f"{HEADER}\n1,abc,not-a-date\n", False, v.NOT_ISO, 2, 0),
-    "slashes": (f"{HEADER}\n1,abc,2024/06/25\n", False, v.NOT_ISO, 2, 0),
-    "us_date": (f"{HEADER}\n1,abc,06-25-2024 17:43:13\n", False, v.NOT_ISO, 2, 0),
-    "year_only": (f"{HEADER}\n1,abc,2024\n", False, v.NOT_ISO, 2, 0),
-    "feb_30": (f"{HEADER}\n1,abc,2024-02-30\n", False, v.NOT_ISO, 2, 0),
-    "hour_24": (f"{HEADER}\n1,abc,2024-06-25 24:00:00\n", False, v.NOT_ISO, 2, 0),
-    "year_zero": (f"{HEADER}\n1,abc,0000-06-25\n", False, v.NOT_ISO, 2, 0),
-    "time_only": (f"{HEADER}\n1,abc,T17:43\n", False, v.NOT_ISO, 2, 0),
-    "third_bad": (f"{HEADER}\n{GOOD}\n{GOOD}\n1,abc,bad\n{GOOD}\n,,\n", False, v.NOT_ISO, 4, 2),
+    "no_time": (f"{HEADER}\n1,k7,\n", False, v.EMPTY, 2, 0),
+    "quoted_empty": (f'{HEADER}\n"",k7,2024-06-25\n', False, v.EMPTY, 2, 0),
+    "not_a_date": (f"{HEADER}\n1,k7,someday\n", False, v.NOT_ISO, 2, 0),
+    "slashes": (f"{HEADER}\n1,k7,2024/06/25\n", False, v.NOT_ISO, 2, 0),
+    "us_date": (f"{HEADER}\n1,k7,06-25-2024 08:05:09\n", False, v.NOT_ISO, 2, 0),
+    "year_only": (f"{HEADER}\n1,k7,2024\n", False, v.NOT_ISO, 2, 0),
+    "feb_30": (f"{HEADER}\n1,k7,2024-02-30\n", False, v.NOT_ISO, 2, 0),
+    "hour_24": (f"{HEADER}\n1,k7,2024-06-25 24:00:00\n", False, v.NOT_ISO, 2, 0),
+    "year_zero": (f"{HEADER}\n1,k7,0000-06-25\n", False, v.NOT_ISO, 2, 0),
+    "time_only": (f"{HEADER}\n1,k7,T08:05\n", False, v.NOT_ISO, 2, 0),
+    "third_bad": (f"{HEADER}\n{GOOD}\n{GOOD}\n1,k7,bad\n{GOOD}\n,,\n", False, v.NOT_ISO, 4, 2),
     "header_again": (f"{HEADER}\n{GOOD}\n{HEADER}\n{GOOD}\n{HEADER}\n", False, v.NOT_ISO, 3, 1),
     "header_twice": (f"{HEADER}\n{HEADER}\n{HEADER}\n", False, v.NOT_ISO, 2, 0),
     "header_after_bad": (f"{HEADER}\n1,,2024-06-25\n{HEADER}\n", False, v.EMPTY, 2, 0),
@@ -90,10 +90,10 @@ def test_case(case_verdicts, name):
 
 def test_messages(case_verdicts):
     assert case_verdicts["two_good"]["message"] == "PASSED — 2 rows checked"
-    assert case_verdicts["extra_field"]["message"] == f"line 2: column count mismatch — {GOOD},extra-field"
-    assert case_verdicts["no_user"]["message"] == "line 2: empty value in required field — ,abc,2024-06-25"
+    assert case_verdicts["extra_field"]["message"] == f"line 2: column count mismatch — {GOOD},surplus"
+    assert case_verdicts["no_user"]["message"] == "line 2: empty value in required field — ,k7,2024-06-25"
     assert case_verdicts["third_bad"]["message"] == "line 4: listen_time 'bad' is not ISO datetime"
-    assert case_verdicts["wrong_header"]["message"] == f"header mismatch: expected {HEADER}, got wrong,columns,here"
+    assert case_verdicts["wrong_header"]["message"] == f"header mismatch: expected {HEADER}, got listener,song,moment"
 
 
 def test_zero_length_file(spark, tmp_path):
@@ -137,7 +137,7 @@ def expected_bad_lines(content):
 
 
 def random_file(rng, lines):
-    ids = ["1", "abc", " ", "", '"q,q"', '""', '"a ""b"" c"', "é", "-"]
+    ids = ["1", "k7", " ", "", '"q,q"', '""', '"a ""b"" c"', "é", "-"]
     times = [
         "2024-06-25", "2024-06-25 01", "2024-06-25T01:02", "2024-06-25 01:02:03", "2024-06-25T01:02:03.123",
         "2024-06-25 01:02:03.123456", "2024-06-25T01:02:03+01:00", "2024-06-25 01:02:03.12", "2024-6-25",
@@ -200,7 +200,7 @@ def test_good_plays_drop_headers_and_bad_lines(spark, tmp_path):
     write(tmp_path, "a.csv", f"{HEADER}\n{GOOD}\n1,,2024-06-25\n2,t,2024-06-25T23:30:00-05:00\n")
     plays = v.good_plays(v.judge_lines(read_lines(spark, str(tmp_path)))).drop("file").collect()
     got = sorted((row["user_id"], row["track_id"], row["listen_time"].isoformat()) for row in plays)
-    assert [row[:2] for row in got] == [("1", "abc"), ("2", "t")]
+    assert [row[:2] for row in got] == [("1", "k7"), ("2", "t")]
 
 
 def test_parse_is_evaluated_once(spark, tmp_path):
