@@ -20,9 +20,11 @@ THRESHOLD = 0.3
 # Labelled documents of each class that the index holds at most, and its words at most.
 PER_CLASS = 3000
 VOCABULARY = 4096
-# A word counts if so many labelled documents hold it and labels differ with it by this chi-square.
+# A word counts if so many labelled documents hold it, labels differ with it by this
+# chi-square, and it changes their odds by this factor.
 LEAST_DOCUMENTS = 5
-LEAST_CHI_SQUARE = 12.0
+LEAST_CHI_SQUARE = 25.0
+LEAST_ODDS = 4.0
 BLOCK = 64
 NEIGHBOURS = 15
 # Blocks with the highest bounds that are always evaluated, before the bounds decide.
@@ -115,7 +117,11 @@ def _chosen_words(texts: pa.Array, label: np.ndarray) -> np.ndarray:
     expected = held * total_ones / total
     spread = expected * (1 - total_ones / total) * (1 - held / total)
     chi_square = np.where(spread > 0, (ones - expected) ** 2 / np.maximum(spread, 1e-12), 0)
-    good = np.flatnonzero((held >= LEAST_DOCUMENTS) & (chi_square >= LEAST_CHI_SQUARE))
+    # Odds of label 1 with the word against those of all examples: common words that merely
+    # go with longer texts say little and would make every example a neighbour of every text.
+    odds = (ones + 0.5) / (held - ones + 0.5) * (total - total_ones + 0.5) / (total_ones + 0.5)
+    telling = (odds >= LEAST_ODDS) | (odds <= 1 / LEAST_ODDS)
+    good = np.flatnonzero((held >= LEAST_DOCUMENTS) & (chi_square >= LEAST_CHI_SQUARE) & telling)
     best = good[np.argsort(-chi_square[good], kind="stable")[:VOCABULARY]]
     return np.sort(words[best])
 
