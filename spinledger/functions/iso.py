@@ -12,6 +12,8 @@ ISO_PATTERN = (
 )
 # Hours alone, and an offset without seconds, are valid ISO but not Spark literals.
 _NO_MINUTES = r"^(.{10}[ T]\d{2})($|[+-])"
+_OFFSET = r"^(.*)([+-])(\d{2}):(\d{2})$"
+_FAR_OFFSET = r"[+-](1[89]|2\d):\d{2}$"
 _NO_SECONDS = r"^(.{10}[ T]\d{2}:\d{2})($|[+-])"
 
 
@@ -25,5 +27,14 @@ def iso_timestamp(text: Column) -> Column:
     # The pattern alone lets 2024-02-30 pass and the cast alone lets 2024 pass.
     return F.when(
         text.rlike(ISO_PATTERN) & ~text.startswith("0000"),
-        complete.try_cast("timestamp"),
+        F.when(text.rlike(_FAR_OFFSET), _with_far_offset(complete)).otherwise(complete.try_cast("timestamp")),
     )
+
+
+def _with_far_offset(complete: Column) -> Column:
+    """The cast takes offsets of up to 18 hours; larger ones, below 24, are taken off by hand."""
+    local = F.regexp_replace(complete, _OFFSET, "$1").try_cast("timestamp")
+    hours, minutes = (F.regexp_extract(complete, _OFFSET, group).try_cast("int") for group in (3, 4))
+    seconds = hours * 3600 + minutes * 60
+    signed = F.when(F.regexp_extract(complete, _OFFSET, 2) == "-", -seconds).otherwise(seconds)
+    return F.when((hours < 24) & (minutes < 60), F.timestamp_add("SECOND", -signed, local))

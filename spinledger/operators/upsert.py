@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import exact_decimal
+from ..functions.text import exact_decimal, plain_number
 
 
 def upsert(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """``existing`` with every key of ``new`` replaced. ``new`` must be unique by key."""
+    """``existing`` with every key of ``new`` replaced. ``new`` must be unique by key.
+
+    Rows with a null in their key cannot be stored and are left out on both sides.
+    """
+    existing, new = with_complete_key(existing, keys), with_complete_key(new, keys)
     return existing.join(new.select(*keys), keys, "left_anti").unionByName(new)
 
 
@@ -24,8 +28,19 @@ def to_items(rows: DataFrame, attributes: dict[str, str]) -> DataFrame:
 
 
 def items_json(items: DataFrame) -> DataFrame:
-    """Items as JSON text (item); a null attribute is left out of its item."""
-    return items.select(F.to_json(F.struct(*items.columns)).alias("item"))
+    """Items as JSON text (item); a null attribute is left out of its item.
+
+    A decimal is a number with all its digits and no trailing zeros.
+    """
+    parts = []
+    for name, kind in items.dtypes:
+        if kind.startswith("decimal"):
+            value = plain_number(F.col(name))
+        else:
+            # An array of one text is written with its quotes and escapes.
+            value = F.regexp_extract(F.to_json(F.array(F.col(name))), r"(?s)^\[(.*)\]$", 1)
+        parts.append(F.when(F.col(name).isNotNull(), F.concat(F.lit(f'"{name}":'), value)))
+    return items.select(F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")).alias("item"))
 
 
 def with_complete_key(rows: DataFrame, keys: list[str]) -> DataFrame:

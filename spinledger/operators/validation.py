@@ -29,6 +29,10 @@ _RECORD_OPTIONS = {
     "escape": '"',
 }
 _INSTANT = "_instant"
+# Below the parser's limit of 20,480 columns.
+_MANY_COMMAS = 20_000
+_FIELD = r'(?:"(?:[^"]++|"")*+"|[^",]*+)'
+_THREE_FIELDS = f"(?s)^{_FIELD}(?:,{_FIELD}){{{len(STREAM_COLUMNS) - 1}}}$"
 _RECORD_DDL = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in STREAM_RECORD.fields)
 
 
@@ -41,11 +45,21 @@ def judge_lines(lines: DataFrame) -> DataFrame:
     """
     # Generators of one row instead of plain columns: filters on what was parsed then
     # stay above the parse, which Catalyst would otherwise repeat in them once per use.
-    record = F.inline(F.array(F.from_csv("value", _RECORD_DDL, _RECORD_OPTIONS)))
+    record = F.inline(F.array(F.from_csv(_parsable(F.col("value")), _RECORD_DDL, _RECORD_OPTIONS)))
     instant = F.explode(F.array(iso_timestamp(F.col("listen_time")))).alias(_INSTANT)
     return lines.select("*", record).select("*", instant).withColumn("reason", _reason())
 
 
+def _parsable(value: Column) -> Column:
+    """The line, or for one of far too many fields a short line that is just as malformed.
+
+    The parser fails on records beyond its limit of columns. Commas are counted by length;
+    only where they are many does it matter whether quotes hold them together.
+    """
+    commas = F.length(value) - F.length(F.replace(value, F.lit(",")))
+    return F.when((commas > _MANY_COMMAS) & ~value.rlike(_THREE_FIELDS), F.lit("," * len(STREAM_COLUMNS))).otherwise(value)
+
+
 def _reason() -> Column:
     empty = F.lit(False)
     for name in STREAM_COLUMNS:

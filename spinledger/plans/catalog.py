@@ -16,15 +16,16 @@ from ..operators import kpis, lookups
 from ..operators.enrich import enrich_streams
 from ..operators.upsert import items_json, to_items, upsert
 from ..operators.validation import bad_lines, file_verdicts
-from ..schemas import DAILY_GENRE_ITEM, DAILY_GENRE_KEYS, STREAM, TOP_GENRES_ITEM, TOP_GENRES_KEYS, TOP_SONGS_ITEM, TOP_SONGS_KEYS, Layout
+from ..schemas import DAILY_GENRE_ITEM, DAILY_GENRE_KEYS, STREAM_COLUMNS, TOP_GENRES_ITEM, TOP_GENRES_KEYS, TOP_SONGS_ITEM, TOP_SONGS_KEYS, Layout
 from ..session import scratch_path
 from ..sources import manifest
 from ..sources.csv_tables import read_songs, read_streams, read_users
 from ..sources.lines import read_lines
+from ..sources.paths import exists
 from ..sources.tables import read_enriched, read_kpis, slice_path, write_enriched
 from ..streaming.pipeline import start_stream
 from . import given_tables as given
-from .ingest import FILE_MODE, ROW_MODE, ingest, run_batch
+from .ingest import FILE_MODE, ROW_MODE, ingest, run_and_archive, run_batch
 from .load import refresh_kpis
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,7 +48,6 @@ GENRE = "PROMO"
 GENRES = ["PROMO", "SMALL", "LARGE"]
 DAY = "2024-01-15"
 DAYS = ["2024-01-05", "2024-01-20"]
-HALF = "2024-01-16"
 
 # --- SQL fragments -------------------------------------------------------------
 
@@ -321,10 +321,10 @@ def orders_top_genres_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     _with(
         _EN,
         _DAILY,
-        select="""select genre, date, listen_count::decimal(38,10) as listen_count,
-  unique_listeners::decimal(38,10) as unique_listeners,
-  total_listening_time_ms::decimal(38,10) as total_listening_time_ms,
-  avg_listening_time_per_user_ms::varchar::decimal(38,10) as avg_listening_time_per_user_ms
+        select="""select genre, date, listen_count::decimal(38,18) as listen_count,
+  unique_listeners::decimal(38,18) as unique_listeners,
+  total_listening_time_ms::decimal(38,18) as total_listening_time_ms,
+  avg_listening_time_per_user_ms::varchar::decimal(38,18) as avg_listening_time_per_user_ms
 from daily""",
     )
 )
@@ -337,7 +337,7 @@ def kpi_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         _EN,
         _songs(),
         select="""select genre, date_rank, track_id::varchar as track_id, track_name,
-  listen_count::decimal(38,10) as listen_count, date, rank::decimal(38,10) as rank
+  listen_count::decimal(38,18) as listen_count, date, rank::decimal(38,18) as rank
 from songs""",
     )
 )
@@ -349,7 +349,7 @@ def kpi_items_top_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
     _with(
         _EN,
         _GENRES,
-        select="select date, rank, genre, listen_count::decimal(38,10) as listen_count from genres",
+        select="select date, rank, genre, listen_count::decimal(38,18) as listen_count from genres",
     )
 )
 def kpi_items_top_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -360,62 +360,77 @@ def kpi_items_top_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
     _with(
         _EN,
         _GENRES,
-        select="""select '{"date":"' || date || '","rank":"' || rank || '","genre":"' || genre
-  || '","listen_count":' || listen_count || '}' as item from genres""",
+        _DAILY,
+        select="""select '{"date":"' || date || '","rank":"' || rank || '"'
+  || coalesce(',"genre":"' || nullif(genre, 'PROMO') || '"', '') || ',"listen_count":' || listen_count || '}' as item
+from genres
+union all
+select '{"genre":"' || genre || '","date":"' || date || '","listen_count":' || listen_count || ',"unique_listeners":'
+  || unique_listeners || ',"total_listening_time_ms":' || total_listening_time_ms || ',"avg_listening_time_per_user_ms":'
+  || regexp_replace(avg_listening_time_per_user_ms::varchar, '\\.0$', '') || '}' from daily""",
     )
 )
 def items_as_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return items_json(_top_genres(spark, sf_dir))
+    """Typed items as text: whole and broken numbers, and a null attribute left out."""
+    genres = _top_genres(spark, sf_dir).withColumn("genre", F.when(F.col("genre") != "PROMO", F.col("genre")))
+    daily = items_json(to_items(_daily(spark, sf_dir), DAILY_GENRE_ITEM))
+    return items_json(to_items(genres, TOP_GENRES_ITEM)).unionByName(daily)
 
 
-@_query(
-    _with(
-        _EN,
-        "old_en as (select * from en where event_type = 'view')",
-        _DAILY,
-        _DAILY.replace("daily as", "old_daily as").replace("from en", "from old_en"),
-        select=f"""select * from daily where date >= '{HALF}'
-union all select o.* from old_daily o where not exists (
-  select 1 from daily d where d.date >= '{HALF}' and d.genre = o.genre and d.date = o.date)""",
-    )
+# The same plays with another table of users.
+_EN_CUSTOMERS = _EN.replace("en as (", "other_en as (").replace("s_name", "c_name").replace("s_nationkey", "c_nationkey").replace(
+    "join supplier on s_suppkey", "join customer on c_custkey"
+)
+_UPSERT_SOURCES = (
+    _EN,
+    _EN_ORDERS.replace("en as (", "orders_en as ("),
+    f"old_en as (select {_ENRICHED_COLUMNS} from en union all select {_ENRICHED_COLUMNS} from orders_en)",
+    _EN_CUSTOMERS,
 )
-def upsert_daily_genre(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """KPIs of the views, overwritten by key with those of all plays of the later days."""
-    views = kpis.compute_daily_genre_kpis(_enrich(spark, sf_dir, given.views(spark, sf_dir)))
-    later = _daily(spark, sf_dir).where(F.col("date") >= HALF)
-    return upsert(views, later, DAILY_GENRE_KEYS)
 
 
-@_query(
-    _with(
-        _EN,
-        "old_en as (select * from en where event_type = 'view')",
-        _songs(),
-        _songs().replace("songs as", "old_songs as").replace("from en", "from old_en").replace("en.track_id", "old_en.track_id"),
-        select=f"""select * from songs where date >= '{HALF}'
-union all select o.* from old_songs o where not exists (
-  select 1 from songs s where s.date >= '{HALF}' and s.genre = o.genre and s.date_rank = o.date_rank)""",
+def _sides(fragment: str, name: str) -> tuple[str, str]:
+    """A KPI fragment over the plays stored before, and over those that replace them."""
+    return tuple(
+        fragment.replace(f"{name} as (", f"{side}_{name} as (").replace("from en", f"from {plays}").replace("en.track_id", f"{plays}.track_id")
+        for side, plays in (("old", "old_en"), ("new", "other_en"))
     )
-)
+
+
+def _upserted(name: str, keys: tuple[str, str]) -> str:
+    match = " and ".join(f"n.{key} = o.{key}" for key in keys)
+    return f"""select * from new_{name}
+union all select o.* from old_{name} o where not exists (select 1 from new_{name} n where {match})"""
+
+
+def _stored_before(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order plays and event plays together."""
+    common = _enriched(spark, sf_dir)
+    return common.unionByName(_enriched_orders(spark, sf_dir).select(*common.columns))
+
+
+def _replacing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All event plays with customers in the role of users."""
+    return enrich_streams(given.event_streams(spark, sf_dir), given.songs(spark, sf_dir), given.customers_as_users(spark, sf_dir))
+
+
+@_query(_with(*_UPSERT_SOURCES, *_sides(_DAILY, "daily"), select=_upserted("daily", ("genre", "date"))))
+def upsert_daily_genre(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """KPIs of all plays, overwritten by key with those of the event plays by other users."""
+    before = kpis.compute_daily_genre_kpis(_stored_before(spark, sf_dir))
+    return upsert(before, kpis.compute_daily_genre_kpis(_replacing(spark, sf_dir)), DAILY_GENRE_KEYS)
+
+
+@_query(_with(*_UPSERT_SOURCES, *_sides(_songs(), "songs"), select=_upserted("songs", ("genre", "date_rank"))))
 def upsert_top_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    views = kpis.compute_top_songs_per_genre(_enrich(spark, sf_dir, given.views(spark, sf_dir)))
-    return upsert(views, _top_songs(spark, sf_dir).where(F.col("date") >= HALF), TOP_SONGS_KEYS)
+    before = kpis.compute_top_songs_per_genre(_stored_before(spark, sf_dir))
+    return upsert(before, kpis.compute_top_songs_per_genre(_replacing(spark, sf_dir)), TOP_SONGS_KEYS)
 
 
-@_query(
-    _with(
-        _EN,
-        "old_en as (select * from en where event_type = 'view')",
-        _GENRES,
-        _GENRES.replace("genres as", "old_genres as").replace("from en", "from old_en"),
-        select=f"""select * from genres where date >= '{HALF}'
-union all select o.* from old_genres o where not exists (
-  select 1 from genres g where g.date >= '{HALF}' and g.date = o.date and g.rank = o.rank)""",
-    )
-)
+@_query(_with(*_UPSERT_SOURCES, *_sides(_GENRES, "genres"), select=_upserted("genres", ("date", "rank"))))
 def upsert_top_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
-    views = kpis.compute_top_genres_daily(_enrich(spark, sf_dir, given.views(spark, sf_dir)))
-    return upsert(views, _top_genres(spark, sf_dir).where(F.col("date") >= HALF), TOP_GENRES_KEYS)
+    before = kpis.compute_top_genres_daily(_stored_before(spark, sf_dir))
+    return upsert(before, kpis.compute_top_genres_daily(_replacing(spark, sf_dir)), TOP_GENRES_KEYS)
 
 
 # Songs of one type listed without their genre.
@@ -540,6 +555,25 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(slice_path(layout.run_metrics, source_id))
 
 
+_EN_REDELIVERED = _EN.replace(
+    "from events e",
+    """from (select * from events where event_type <> 'view'
+           or cast(ts as date) not in (select cast(ts as date) from events where event_type <> 'view')) e""",
+)
+
+
+@_query(_with(_EN_REDELIVERED, _DAILY, select="select * from daily"))
+def redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every file comes twice, in arrivals of different names; its second version counts."""
+    layout = Layout(scratch_path(spark, "redelivery"))
+    songs = given.text_ids(given.songs(spark, sf_dir))
+    users = given.text_ids(given.suppliers_as_users(spark, sf_dir))
+    none = spark.createDataFrame([], "file string")
+    for source_id, views in (("folder", True), ("corrected", False)):
+        ingest(spark, given.sound_lines(spark, sf_dir, views), none, songs, users, layout, source_id)
+    return read_kpis(spark, layout.daily_genre)
+
+
 @_query(_with(_EN, _DAILY, select="select * from daily"))
 def batch_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Validate, transform and load CSV files of all events in one batch run."""
@@ -563,38 +597,68 @@ def stream_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
         text_rows = plays.withColumn("listen_time", F.date_format("listen_time", given.TIME_FORMAT))
         text_rows.write.mode("append").csv(f"{root}/streams", header=True)
         start_stream(
-            f"{root}/streams", songs, users, layout, f"{root}/checkpoint", max_files_per_trigger=1000
-        ).awaitTermination()
+            f"{root}/streams", songs, users, layout, f"{root}/checkpoint").awaitTermination()
     return read_kpis(spark, layout.top_songs)
 
 
-@_query("select cast(ts as date) as listen_date, count(*) as lines from events group by all")
+@_query("""select 'archived' as folder, count(distinct cast(ts as date)) as files, count(*) as plays from events""")
 def archive_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Plays per day in the archived files and the one still waiting: none is lost."""
+    """A file per day, run and archived: files and plays per folder. Nothing may stay behind."""
     root = scratch_path(spark, "archive")
     layout = Layout(f"{root}/tables")
     songs = given.text_ids(given.songs(spark, sf_dir))
     users = given.text_ids(given.suppliers_as_users(spark, sf_dir))
-    given.event_csv_columns(spark, sf_dir).repartition(3).write.csv(f"{root}/streams", header=True)
-    start_stream(
-        f"{root}/streams", songs, users, layout, f"{root}/checkpoint", archive_path=f"{root}/archived"
-    ).awaitTermination()
-    folders = [f"{root}/{name}" for name in ("streams", "archived")]
-    files = spark.read.schema(STREAM).csv(folders, header=True, recursiveFileLookup=True)
-    return files.groupBy(F.to_date("listen_time").alias("listen_date")).agg(F.count(F.lit(1)).alias("lines"))
+    plays = given.event_csv_columns(spark, sf_dir).withColumn("day", F.substring("listen_time", 1, 10))
+    plays.repartition("day").write.partitionBy("day").csv(f"{root}/raw/streams", header=True)
+    run_and_archive(spark, f"{root}/raw", f"{root}/archived", "streams", songs, users, layout)
+    folders = None
+    for name in ("raw", "archived"):
+        if not exists(spark, f"{root}/{name}/streams"):
+            continue
+        lines = read_lines(spark, f"{root}/{name}/streams").where(F.col("value") != ",".join(STREAM_COLUMNS))
+        counted = lines.agg(F.lit(name).alias("folder"), F.countDistinct("file").alias("files"), F.count(F.lit(1)).alias("plays"))
+        folders = counted if folders is None else folders.unionByName(counted)
+    return folders.where("files > 0")
 
 
 # --- serving -------------------------------------------------------------------
 
+_SERVED: dict[tuple[str, str], Layout] = {}
+
+
+def _served(spark: SparkSession, sf_dir: str) -> Layout:
+    """The three KPI tables of all event plays, stored once per application and input."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    layout = _SERVED.get(key)
+    if layout is None or not exists(spark, layout.daily_genre):
+        layout = Layout(scratch_path(spark, "served"))
+        _, dates = write_enriched(_enriched(spark, sf_dir), layout.enriched, "all")
+        refresh_kpis(spark, layout, dates)
+        _SERVED[key] = layout
+    return layout
+
+
+def _stored_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_kpis(spark, _served(spark, sf_dir).daily_genre)
+
+
+def _stored_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_kpis(spark, _served(spark, sf_dir).top_songs)
+
+
+def _stored_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_kpis(spark, _served(spark, sf_dir).top_genres)
+
+
 
 @_query(_with(_EN, _DAILY, select=f"select * from daily where genre = '{GENRE}' and date = '{DAY}'"))
 def lookup_genre_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookups.genre_on_day(_daily(spark, sf_dir), GENRE, DAY)
+    return lookups.genre_on_day(_stored_daily(spark, sf_dir), GENRE, DAY)
 
 
 @_query(_with(_EN, _DAILY, select=f"select * from daily where genre = '{GENRE}' order by date"))
 def lookup_genre_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookups.genre_history(_daily(spark, sf_dir), GENRE)
+    return lookups.genre_history(_stored_daily(spark, sf_dir), GENRE)
 
 
 @_query(
@@ -605,7 +669,7 @@ def lookup_genre_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def lookup_multi_genre(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookups.top_song_of_genres(_top_songs(spark, sf_dir), GENRES, DAY)
+    return lookups.top_song_of_genres(_stored_songs(spark, sf_dir), GENRES, DAY)
 
 
 @_query(
@@ -616,22 +680,22 @@ def lookup_multi_genre(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def lookup_top_songs_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookups.top_songs_on_day(_top_songs(spark, sf_dir), GENRE, DAY)
+    return lookups.top_songs_on_day(_stored_songs(spark, sf_dir), GENRE, DAY)
 
 
 @_query(_with(_EN, _songs(), select=f"select * from songs where genre = '{GENRE}' order by date_rank"))
 def lookup_top_songs_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookups.top_songs_history(_top_songs(spark, sf_dir), GENRE)
+    return lookups.top_songs_history(_stored_songs(spark, sf_dir), GENRE)
 
 
 @_query(_with(_EN, _GENRES, select=f"select * from genres where date = '{DAY}' order by rank"))
 def lookup_top_genres_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookups.top_genres_on_day(_top_genres(spark, sf_dir), DAY)
+    return lookups.top_genres_on_day(_stored_genres(spark, sf_dir), DAY)
 
 
 @_query(_with(_EN, _GENRES, select=f"select * from genres where date = '{DAY}' and rank = '01'"))
 def lookup_top_genre(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookups.top_genre_on_day(_top_genres(spark, sf_dir), DAY)
+    return lookups.top_genre_on_day(_stored_genres(spark, sf_dir), DAY)
 
 
 @_query(
@@ -643,7 +707,7 @@ def lookup_top_genre(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def scan_daily_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookups.scan_daily(_daily(spark, sf_dir))
+    return lookups.scan_daily(_stored_daily(spark, sf_dir))
 
 
 @_query(_with(_EN_ORDERS, _DAILY, select="select * from daily where listen_count > 10"))
@@ -661,7 +725,7 @@ def filter_min_listens(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def scalar_avg_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookups.average_minutes(_daily(spark, sf_dir))
+    return lookups.average_minutes(_stored_daily(spark, sf_dir))
 
 
 @_query(

@@ -89,6 +89,12 @@ def event_csv_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_ids(plays).withColumn("listen_time", F.date_format("listen_time", TIME_FORMAT))
 
 
+def sound_lines(spark: SparkSession, sf_dir: str, views: bool) -> DataFrame:
+    """Lines of one file per day, without bad records: the views, or all other events."""
+    chosen = F.col("event_type") == "view" if views else F.col("event_type") != "view"
+    return _with_headers(_lines_of(table(spark, sf_dir, "events").where(chosen), _line()))
+
+
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events as lines of one file per day, split by the hour.
 
@@ -96,15 +102,26 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     the rules have something to find; every event remains a line. Event ids count up
     by one in time order, which makes them positions.
     """
-    events = table(spark, sf_dir, "events")
+    return _with_headers(_lines_of(table(spark, sf_dir, "events"), _damaged_line()))
+
+
+def _lines_of(events: DataFrame, value: Column) -> DataFrame:
     day = F.date_format("ts", "yyyy-MM-dd")
     file = F.concat(F.lit("plays-"), day, F.lit(".csv"))
-    lines = events.select(
+    return events.select(
         file.alias("file"),
         F.hour("ts").cast("bigint").alias("block"),
         F.col("event_id").alias("pos"),
-        _damaged_line().alias("value"),
+        value.alias("value"),
     )
+
+
+def _line() -> Column:
+    track = F.get_json_object("props", "$.k")
+    return F.concat_ws(",", F.col("user_id").cast("string"), track, F.date_format("ts", TIME_FORMAT))
+
+
+def _with_headers(lines: DataFrame) -> DataFrame:
     headers = lines.select("file").distinct()
     return lines.unionByName(
         headers.select(

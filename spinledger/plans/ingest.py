@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..operators.enrich import enrich_streams
 from ..operators.validation import (
     BAD_HEADER,
+    EMPTY_FILE,
     bad_lines,
     empty_file_verdicts,
     file_verdicts,
@@ -19,8 +20,8 @@ from ..operators.validation import (
 from ..schemas import VERDICT, Layout
 from ..sources.lines import read_lines, zero_length_files
 from ..sources.manifest import read_dates_manifest, write_dates_manifest
-from ..sources.paths import archive_input, exists
-from ..sources.tables import clear_partitions, slice_path, write_enriched, write_slice
+from ..sources.paths import archive_input, days_of, exists, key_below
+from ..sources.tables import changed_slices, clear_partitions, drop_files, slice_path, write_enriched, write_slice
 from .load import refresh_kpis
 
 FILE_MODE = "files"
@@ -43,7 +44,7 @@ def run_batch(
     *,
     source_id: str | None = None,
     mode: str = FILE_MODE,
-    rebalance: bool = False,
+    rebalance: bool = True,
 ) -> dict[str, int]:
     """Validate, transform and load the files at ``path`` as one arrival.
 
@@ -72,7 +73,10 @@ def run_and_archive(
     layout: Layout,
     **options,
 ) -> dict[str, int]:
-    """``run_batch`` on one key, which moves to the archive unless it was rejected."""
+    """``run_batch`` on one key, a file or a folder, whose accepted files move to the archive.
+
+    Rejected files stay where they are, next to their entry in the quarantine.
+    """
     metrics = run_batch(
         spark,
         f"{raw_root.rstrip('/')}/{object_key}",
@@ -84,6 +88,12 @@ def run_and_archive(
     )
     if metrics["files_rejected"] == 0:
         archive_input(spark, raw_root, archive_root, object_key)
+    else:
+        # One rename per file, by the file system; the names alone come here, in pieces.
+        usable = read_verdicts(spark, layout, source_id_of(object_key)).where(_usable(options.get("mode", FILE_MODE)))
+        for row in usable.select("file").toLocalIterator():
+            key = key_below(spark, raw_root, row["file"])
+            archive_input(spark, raw_root, archive_root, key)
     return metrics
 
 
@@ -97,7 +107,7 @@ def ingest(
     source_id: str,
     *,
     mode: str = FILE_MODE,
-    rebalance: bool = False,
+    rebalance: bool = True,
 ) -> dict[str, int]:
     """One arrival: validate, transform, load, and a row of run metrics.
 
@@ -126,6 +136,11 @@ def validate(
 ) -> dict[str, int]:
     """Store a verdict per file and what is set aside, with the reasons."""
     usable = _usable(mode)
+    # An empty file is reported by the arrival that met it first.
+    if exists(spark, layout.verdicts):
+        others = spark.read.schema(f"{_ddl(VERDICT)}, source_id string").parquet(layout.verdicts)
+        known = others.where((F.col("source_id") != source_id) & (F.col("reason") == EMPTY_FILE)).select("file")
+        empty_files = empty_files.join(known, "file", "left_anti")
     judged = file_verdicts(lines).unionByName(empty_file_verdicts(empty_files))
     write_slice(judged, layout.verdicts, source_id)
     verdicts = read_verdicts(spark, layout, source_id)
@@ -152,13 +167,19 @@ def transform(
     source_id: str,
     *,
     mode: str = FILE_MODE,
-    rebalance: bool = False,
+    rebalance: bool = True,
 ) -> dict[str, int]:
-    """Store the enriched plays of the usable files and the manifest of days touched."""
-    # The stored verdicts have a known size: Catalyst broadcasts them into the scan
-    # of the lines only while they are small.
-    accepted = read_verdicts(spark, layout, source_id).where(_usable(mode)).select("file")
-    plays = good_plays(judge_lines(lines.join(accepted, "file", "left_semi"))).drop("file")
+    """Store the enriched plays of the usable files and the manifest of days touched.
+
+    A file counts once, whatever arrival brings it: what other arrivals stored of a file is
+    taken back before its new version is stored, so the latest delivery stands.
+    """
+    # Files set aside are few in a sound delivery: where there are none, the lines are not
+    # joined at all, and else Catalyst broadcasts their names while they are small.
+    rejected = read_verdicts(spark, layout, source_id).where(~_usable(mode)).select("file")
+    taken = lines if rejected.isEmpty() else lines.join(rejected, "file", "left_anti")
+    plays = good_plays(judge_lines(taken))
+    _take_back(spark, layout, source_id, mode)
     rows, dates = write_enriched(
         enrich_streams(plays, songs, users), layout.enriched, source_id, rebalance=rebalance
     )
@@ -175,6 +196,32 @@ def read_verdicts(spark: SparkSession, layout: Layout, source_id: str) -> DataFr
     return spark.read.schema(VERDICT).parquet(slice_path(layout.verdicts, source_id))
 
 
+def _take_back(spark: SparkSession, layout: Layout, source_id: str, mode: str) -> None:
+    """Remove what other arrivals stored of the usable files of this one.
+
+    The days concerned go into the manifest first. If the run stops in between, its
+    repetition refreshes them even where nothing is left to take back.
+    """
+    usable = read_verdicts(spark, layout, source_id).where(_usable(mode)).select("file")
+    every = spark.read.schema(f"{_ddl(VERDICT)}, source_id string").parquet(layout.verdicts)
+    shared = every.where(F.col("source_id") != source_id).join(usable, "file", "left_semi")
+    slices = [
+        (day, row["source_id"]) for row in shared.select("source_id").distinct().collect() for day in days_of(spark, layout.enriched, row["source_id"])
+    ]
+    if not slices:
+        return
+    changed = changed_slices(spark, layout.enriched, slices, usable)
+    if changed:
+        manifest = layout.manifest(source_id)
+        before = read_dates_manifest(spark, manifest) if exists(spark, manifest) else []
+        write_dates_manifest(spark, manifest, [*before, *(day for day, _ in changed)])
+        drop_files(spark, layout.enriched, changed, usable, layout.staged(source_id))
+
+
+def _ddl(schema) -> str:
+    return ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in schema.fields)
+
+
 def _usable(mode: str) -> Column:
     """Whether plays are taken from a file with a given verdict."""
     if mode == FILE_MODE:
@@ -189,11 +236,14 @@ def _usable(mode: str) -> Column:
 def _touched(spark: SparkSession, layout: Layout, source_id: str, dates: list[str]) -> list[str]:
     """Days to refresh: those just written and those an earlier run of this arrival wrote.
 
-    Days the arrival no longer has lose its old partition. The manifest is stored
-    before the refresh, so a run that stops in between can be repeated.
+    Days the arrival no longer has lose its old partition, which is looked for in the
+    store itself. The manifest is stored before the refresh, so a run that stops anywhere
+    in between can be repeated.
     """
     manifest = layout.manifest(source_id)
     before = read_dates_manifest(spark, manifest) if exists(spark, manifest) else []
+    # Also what a run left that stopped before its manifest was stored.
+    before = sorted({*before, *days_of(spark, layout.enriched, source_id)})
     gone = sorted(set(before) - set(dates))
     clear_partitions(spark, layout.enriched, [f"listen_date={day}/source_id={source_id}" for day in gone])
     return write_dates_manifest(spark, manifest, [*before, *dates])

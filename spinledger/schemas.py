@@ -116,5 +116,8 @@ class Layout:
     def run_metrics(self) -> str:
         return self._at("run_metrics")
 
+    def staged(self, source_id: str) -> str:
+        return self._at(f"staged/{source_id}")
+
     def manifest(self, source_id: str) -> str:
         return self._at(f"manifests/{source_id}.json")

@@ -30,7 +30,8 @@ def archive_input(spark: SparkSession, raw_root: str, archive_root: str, object_
     """Move a processed input to the archive under the same relative key.
 
     A rename, so no bytes pass through this process. Call it only after the load
-    of the input has succeeded. A missing input raises, as does a taken target.
+    of the input has succeeded. A missing input raises. A target that an earlier delivery
+    of the same key left is replaced.
     """
     for name, value in {"raw_root": raw_root, "archive_root": archive_root, "object_key": object_key}.items():
         if not value:
@@ -42,6 +43,38 @@ def archive_input(spark: SparkSession, raw_root: str, archive_root: str, object_
     if not fs.exists(source_path):
         raise FileNotFoundError(source)
     fs.mkdirs(target_path.getParent())
-    if fs.exists(target_path) or not fs.rename(source_path, target_path):
+    if fs.exists(target_path):
+        fs.delete(target_path, True)
+    if not fs.rename(source_path, target_path):
         raise OSError(f"could not move {source} to {target}")
     return {"status": "archived", "from": source, "to": target}
+
+
+def first_folder(spark: SparkSession, parent: str, prefix: str) -> str | None:
+    """Any one folder below ``parent`` whose name starts so; lists no further than that."""
+    fs, parent_path = _resolve(spark, parent)
+    if not fs.exists(parent_path):
+        return None
+    found = fs.listStatusIterator(parent_path)
+    while found.hasNext():
+        name = found.next().getPath().getName()
+        if name.startswith(prefix):
+            return f"{parent}/{name}"
+    return None
+
+
+def days_of(spark: SparkSession, parent: str, source_id: str) -> list[str]:
+    """The days for which a table partitioned by day and source holds rows of a source."""
+    fs, _ = _resolve(spark, parent)
+    found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{parent}/listen_date=*/source_id={source_id}"))
+    return sorted(status.getPath().getParent().getName().removeprefix("listen_date=") for status in found or [])
+
+
+def key_below(spark: SparkSession, root: str, file: str) -> str:
+    """The key of a file, given as the URI a scan reports, relative to ``root``."""
+    fs, root_path = _resolve(spark, root)
+    whole = spark._jvm.java.net.URI(file).getPath()
+    base = fs.makeQualified(root_path).toUri().getPath().rstrip("/")
+    if not whole.startswith(f"{base}/"):
+        raise ValueError(f"{file} does not lie below {root}")
+    return whole[len(base) + 1 :]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import date_text
-from .paths import existing
+from .paths import existing, first_folder
 
 
 def read_enriched(spark: SparkSession, path: str, dates: Sequence[str] | None = None) -> DataFrame:
@@ -32,12 +32,16 @@ def _read_days(spark: SparkSession, path: str, column: str, dates: Sequence[str]
         return spark.read.parquet(path)
     present = existing(spark, path, [f"{column}={day}" for day in dates])
     if not present:
-        return spark.read.parquet(path).where(date_text(F.col(column)).isin(list(dates)))
+        # Any partition tells the schema; the history need not be listed for that.
+        some = first_folder(spark, path, f"{column}=")
+        if some is None:
+            return spark.read.parquet(path).limit(0)
+        return spark.read.option("basePath", path).parquet(some).limit(0)
     return spark.read.option("basePath", path).parquet(*present)
 
 
 def write_enriched(
-    enriched: DataFrame, path: str, source_id: str, rebalance: bool = False
+    enriched: DataFrame, path: str, source_id: str, rebalance: bool = True
 ) -> tuple[int, list[str]]:
     """Store one arrival's plays and return (rows written, days written).
 
@@ -45,9 +49,9 @@ def write_enriched(
     by side and a rerun of one replaces just its own rows. Row count and days are
     observed on the write itself; the join is evaluated once.
 
-    Tasks write straight from the join. ``rebalance`` inserts a shuffle that evens
-    out file sizes and splits hot days; it pays off for a backfill whose files each
-    span many days, where every task would otherwise write a file per day.
+    ``rebalance`` inserts a shuffle that evens out file sizes and splits hot days, so that
+    a backfill whose files each span many days does not write a file per task and day.
+    Without it tasks write straight from the join, which suits an arrival of one day.
     """
     rows = enriched.withColumn("source_id", F.lit(source_id))
     if rebalance:
@@ -88,6 +92,32 @@ def clear_partitions(spark: SparkSession, path: str, partitions: Iterable[str])
         spark.read.parquet(folder).limit(0).write.mode("overwrite").parquet(folder)
 
 
+def changed_slices(
+    spark: SparkSession, path: str, slices: Iterable[tuple[str, str]], files: DataFrame
+) -> list[tuple[str, str]]:
+    """Those (day, source_id) slices of the enriched plays that hold plays of ``files``."""
+    stored = _read_slices(spark, path, slices)
+    if "file" not in stored.columns:
+        return []
+    held = stored.join(files, "file", "left_semi").select(date_text(F.col("listen_date")).alias("day"), "source_id").distinct()
+    return sorted((row["day"], row["source_id"]) for row in held.collect())
+
+
+def drop_files(spark: SparkSession, path: str, slices: Sequence[tuple[str, str]], files: DataFrame, staging: str) -> None:
+    """Rewrite slices without the plays of ``files``, by way of a staged copy."""
+    kept = _read_slices(spark, path, slices).join(files, "file", "left_anti")
+    kept.write.mode("overwrite").parquet(staging)
+    staged = spark.read.schema(kept.schema).parquet(staging)
+    left = {(row["day"], row["source_id"]) for row in staged.select(date_text(F.col("listen_date")).alias("day"), "source_id").distinct().collect()}
+    _overwrite(staged.hint("rebalance", F.col("listen_date")), path, ["listen_date", "source_id"], date_text(F.col("listen_date")))
+    clear_partitions(spark, path, [f"listen_date={day}/source_id={source}" for day, source in slices if (day, source) not in left])
+
+
+def _read_slices(spark: SparkSession, path: str, slices: Iterable[tuple[str, str]]) -> DataFrame:
+    folders = [f"{path}/listen_date={day}/source_id={source}" for day, source in slices]
+    return spark.read.option("basePath", path).parquet(*folders)
+
+
 def _overwrite(rows: DataFrame, path: str, partition_by: list[str], day: Column) -> dict:
     observation = Observation()
     (

@@ -18,10 +18,10 @@ def start_stream(
     checkpoint: str,
     *,
     name: str = "stream",
-    max_files_per_trigger: int = 1,
+    max_files_per_trigger: int | None = None,
     archive_path: str | None = None,
     mode: str = FILE_MODE,
-    rebalance: bool = False,
+    rebalance: bool = True,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Ingest files in order of arrival; a file is taken once however often it is seen.
@@ -31,13 +31,14 @@ def start_stream(
     failed attempt left, so the checkpoint and the tables belong together: start
     both afresh or neither.
 
-    One file per trigger keeps strict order. Days are recomputed whole, so a larger
-    ``max_files_per_trigger`` gives the same tables with fewer refreshes.
+    A micro-batch takes all waiting files, so a day is recomputed once for them. Days are
+    recomputed whole: one file per trigger keeps strict order and gives the same tables
+    with more refreshes.
     ``archive_path`` moves finished files there once a later batch has begun.
     ``available_now`` drains the backlog and stops.
     """
     spark = songs.sparkSession
-    options = {"maxFilesPerTrigger": str(max_files_per_trigger)}
+    options = {} if max_files_per_trigger is None else {"maxFilesPerTrigger": str(max_files_per_trigger)}
     if archive_path:
         options |= {"cleanSource": "archive", "sourceArchiveDir": archive_path}
     raw = stream_raw_lines(spark, streams_path, **options)

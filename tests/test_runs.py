@@ -158,14 +158,14 @@ def test_stream_takes_files_one_by_one_and_once(spark, songs, users, tmp_path):
     put(folder, "a.csv", "u1,t1,2024-06-25")
     put(folder, "2024/b.csv", "u2,t3,2024-06-25")
     put(tmp_path / "raw" / "reference", "songs.csv", "u1,t1,2024-06-25")
-    stream(folder, songs, users, layout, tmp_path)
-    assert daily(spark, layout) == [("2024-06-25", "folk", 1), ("2024-06-25", "dub", 1)]
+    stream(folder, songs, users, layout, tmp_path, max_files_per_trigger=1)
+    assert daily(spark, layout) == [("2024-06-25", "dub", 1), ("2024-06-25", "folk", 1)]
     assert spark.read.parquet(layout.run_metrics).count() == 2
     # A late file for the same day; the first two are not taken again.
     put(folder, "c.csv", "u2,t1,2024-06-25", "u2,t1,2024-01-01")
-    stream(folder, songs, users, layout, tmp_path)
+    stream(folder, songs, users, layout, tmp_path, max_files_per_trigger=1)
     assert daily(spark, layout) == [
-        ("2024-01-01", "folk", 1), ("2024-06-25", "folk", 2), ("2024-06-25", "dub", 1),
+        ("2024-01-01", "folk", 1), ("2024-06-25", "dub", 1), ("2024-06-25", "folk", 2),
     ]
     assert spark.read.parquet(layout.run_metrics).count() == 3
 
@@ -184,7 +184,7 @@ def test_stream_archives_finished_files(spark, songs, users, tmp_path):
     layout, folder, archive = Layout(str(tmp_path / "t")), tmp_path / "streams", tmp_path / "archive"
     for name in ("a.csv", "b.csv", "c.csv"):
         put(folder, name, "u1,t1,2024-06-25")
-    stream(folder, songs, users, layout, tmp_path, archive_path=str(archive))
+    stream(folder, songs, users, layout, tmp_path, archive_path=str(archive), max_files_per_trigger=1)
     assert daily(spark, layout) == [("2024-06-25", "folk", 3)]
     archived = {path.name for path in archive.rglob("*.csv")}
     left = {path.name for path in folder.rglob("*.csv")}
@@ -202,3 +202,67 @@ def test_repeated_micro_batch_counts_once(spark, songs, users, tmp_path):
     stream(folder, songs, users, layout, tmp_path)
     assert daily(spark, layout) == [("2024-06-25", "folk", 1)]
     assert read_enriched(spark, layout.enriched).count() == 1
+
+
+def test_correction_of_a_streamed_file_counts_once(spark, songs, users, tmp_path):
+    layout, folder = Layout(str(tmp_path / "t")), tmp_path / "streams"
+    put(folder, "a.csv", "u1,t1,2024-06-25", "u2,t1,2024-06-24")
+    put(folder, "b.csv", "u1,t1,2024-06-25")
+    stream(folder, songs, users, layout, tmp_path)
+    path = put(folder, "a.csv", "u1,t3,2024-06-25")
+    run_batch(spark, path, songs, users, layout)
+    assert daily(spark, layout) == [("2024-06-25", "dub", 1), ("2024-06-25", "folk", 1)]
+    # The folder and then one of its files: the same identity.
+    run_batch(spark, str(folder), songs, users, layout)
+    run_batch(spark, path, songs, users, layout)
+    assert daily(spark, layout) == [("2024-06-25", "dub", 1), ("2024-06-25", "folk", 1)]
+    # A correction that is rejected leaves what was stored.
+    put(folder, "a.csv", "u1,t3,nope")
+    run_batch(spark, str(folder / "a.csv"), songs, users, layout, source_id="other")
+    assert daily(spark, layout) == [("2024-06-25", "dub", 1), ("2024-06-25", "folk", 1)]
+
+
+def test_crash_before_the_manifest_leaves_no_stale_day(spark, songs, users, tmp_path, monkeypatch):
+    from spinledger.plans import ingest as module
+
+    layout = Layout(str(tmp_path / "t"))
+    path = put(tmp_path, "a.csv", "u1,t1,2024-06-25", "u2,t1,2024-06-24")
+    with monkeypatch.context() as patch:
+        patch.setattr(module, "_touched", lambda *args: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run_batch(spark, path, songs, users, layout, source_id="a")
+    put(tmp_path, "a.csv", "u1,t1,2024-06-25")
+    run_batch(spark, path, songs, users, layout, source_id="a")
+    assert daily(spark, layout) == [("2024-06-25", "folk", 1)]
+    assert read_enriched(spark, layout.enriched).count() == 1
+
+
+def test_over_wide_line_rejects_its_file_only(spark, songs, users, tmp_path):
+    layout, folder = Layout(str(tmp_path / "t")), tmp_path / "in"
+    put(folder, "wide.csv", "," * 30_000)
+    put(folder, "good.csv", "u1,t1,2024-06-25")
+    put(folder, "quoted.csv", 'u1,"' + "," * 30_000 + '",2024-06-25')
+    run_batch(spark, str(folder), songs, users, layout)
+    assert daily(spark, layout) == [("2024-06-25", "folk", 1)]
+    assert quarantined(spark, layout) == [("wide.csv", "column count mismatch", 2)]
+
+
+def test_empty_file_is_reported_once_by_a_stream(spark, songs, users, tmp_path):
+    layout, folder = Layout(str(tmp_path / "t")), tmp_path / "streams"
+    (folder).mkdir()
+    (folder / "empty.csv").write_text("")
+    for name in ("a.csv", "b.csv", "c.csv"):
+        put(folder, name, "u1,t1,2024-06-25")
+    stream(folder, songs, users, layout, tmp_path, max_files_per_trigger=1)
+    assert [row[1] for row in quarantined(spark, layout)] == ["file is empty"]
+    metrics = spark.read.parquet(layout.run_metrics).agg({"files_checked": "sum", "files_rejected": "sum"}).first()
+    assert sorted(metrics) == [1, 4]
+
+
+def test_folder_run_archives_its_sound_files(spark, songs, users, tmp_path):
+    layout, raw, archive = Layout(str(tmp_path / "t")), tmp_path / "raw", tmp_path / "archive"
+    put(raw, "streams/good.csv", "u1,t1,2024-06-25")
+    put(raw, "streams/bad.csv", "u1,t1,nope")
+    run_and_archive(spark, str(raw), str(archive), "streams", songs, users, layout)
+    assert [path.name for path in archive.rglob("*.csv")] == ["good.csv"]
+    assert [path.name for path in raw.rglob("*.csv")] == ["bad.csv"]

@@ -79,14 +79,14 @@ def test_hot_keys_are_split_when_tables_are_too_large_to_broadcast(spark, group)
 
 
 def test_listener_counts_are_reduced_before_the_first_shuffle(spark):
-    plan = plan_of(kpis.compute_daily_genre_kpis(enriched_of(spark, [("u1", "t1", None)])))
+    plan = plan_of(kpis.compute_daily_genre_kpis(enriched_of(spark, [("u1", "s10", None)])))
     below_last_exchange = plan[plan.rindex("Exchange") :]
     assert "HashAggregate" in below_last_exchange and "partial_count" in below_last_exchange
     assert "SortAggregate" not in plan
 
 
 def test_ranking_is_pruned_before_its_shuffle(spark):
-    plan = plan_of(kpis.compute_top_songs_per_genre(enriched_of(spark, [("u1", "t1", None)])))
+    plan = plan_of(kpis.compute_top_songs_per_genre(enriched_of(spark, [("u1", "s10", None)])))
     assert plan.count("WindowGroupLimit") == 2
     window_exchange = plan.index("Exchange")
     assert "WindowGroupLimit" in plan[window_exchange:]
@@ -96,7 +96,7 @@ def test_kpi_scans_read_their_own_columns(spark, tmp_path):
     import datetime as dt
 
     path = str(tmp_path / "e")
-    tables.write_enriched(enriched_of(spark, [("u1", "t1", dt.date(2024, 6, 25))]), path, "a")
+    tables.write_enriched(enriched_of(spark, [("u1", "s10", dt.date(2024, 6, 25))]), path, "a")
     enriched = tables.read_enriched(spark, path)
     daily = plan_of(kpis.compute_daily_genre_kpis(enriched))
     assert "ReadSchema: struct<user_id:string,track_genre:string,duration_ms:bigint>" in daily
@@ -111,7 +111,7 @@ def test_one_day_costs_the_same_whatever_the_history(spark, tmp_path):
     seen = set()
     for history in (1, 7, 30):
         path = str(tmp_path / str(history))
-        plays = [("u1", "t1", day) for day in days[:history]]
+        plays = [("u1", "s10", day) for day in days[:history]]
         tables.write_enriched(enriched_of(spark, plays).coalesce(1), path, "a")
         seen.add(len(tables.read_enriched(spark, path, ["2024-01-01"]).inputFiles()))
     assert seen == {1}
