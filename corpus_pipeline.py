@@ -14,7 +14,7 @@ from spinledger.llm.line_dedup import without_repeated_lines
 from spinledger.llm.minhash_dedup import deduplicated
 from spinledger.llm.packing import packed_pieces
 from spinledger.llm.quality import fitted_network, quality_scores
-from spinledger.llm.tables import stored, table
+from spinledger.llm.tables import quoted, stored, table
 
 # Near copies share so many words in a row in most of their runs.
 SHINGLE_WORDS = 5
@@ -29,13 +29,13 @@ ORACLE_SQL = None
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the quality network rejects."""
     network = fitted_network(docs, table(spark, sf_dir, "labels"))
-    return quality_scores(docs, network).where("predicted = 1").select(*docs.columns)
+    return quality_scores(docs, network).where("predicted = 1").select(*quoted(docs.columns))
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes lines that stand in many documents out of all of them."""
     done = without_repeated_lines(docs)
-    return _with_length(done, F.col("n_dropped") > 0).select(*docs.columns)
+    return _with_length(done, F.col("n_dropped") > 0).select(*quoted(docs.columns))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +47,7 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Cuts benchmark passages out, and drops documents that largely consist of them."""
     done = decontaminated(docs, table(spark, sf_dir, "benchmark"))
     kept = done.where(F.col("n_hit") <= MAX_COVERAGE * F.col("n_words"))
-    return _with_length(kept, F.col("n_hit") > 0).select(*docs.columns)
+    return _with_length(kept, F.col("n_hit") > 0).select(*quoted(docs.columns))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .suffix_automaton import SuffixAutomaton
-from .tables import prepare, stored, table
+from .tables import carried, extended, prepare, restored, stored, table
 from .words import NOT_ALPHANUMERIC, text_chunks, words_of
 
 # Fixed value of the contract: words of a window.
@@ -117,20 +117,18 @@ def decontaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, cut_
     named = items.where("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("item_id"), "text")
     size = named.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     blocks = -(-size // BLOCK_BYTES) or 1
-    names = [name for name in docs.columns if name not in ("n_words", "n_hit", "items")]
-    inner = docs.select([F.col(f"`{name}`").alias(f"c{k}") for k, name in enumerate(names)])
+    names, inner = carried(docs, ("n_words", "n_hit", "items"))
     text = f"c{names.index('text')}"
-    schema = ", ".join(f"{name} {kind}" for name, kind in inner.dtypes)
     found = inner.withColumns({"n_words": F.lit(0).cast("bigint"), "spans": F.lit(b""), "items": F.lit(None).cast("array<string>")})
-    whole = f"{schema}, n_words bigint, spans binary, items array<string>"
+    whole = extended(inner, "n_words bigint, spans binary, items array<string>")
     for block in range(blocks):
         part = named.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
         matcher = Matcher.of([row["item_id"] for row in part], [row["text"] for row in part], window)
         if block:
             found = stored(found, "block-matches")
         found = found.mapInArrow(_matching_rows(docs.sparkSession.sparkContext.broadcast(matcher), text), whole)
-    done = found.mapInArrow(_cutting_rows(text, cut_text), f"{schema}, n_words bigint, n_hit bigint, items array<string>")
-    return done.select(*[F.col(f"c{k}").alias(name) for k, name in enumerate(names)], "n_words", "n_hit", "items")
+    done = found.mapInArrow(_cutting_rows(text, cut_text), extended(inner, "n_words bigint, n_hit bigint, items array<string>"))
+    return done.select(*restored(names), "n_words", "n_hit", "items")
 
 
 def _matching_rows(sent, text_column: str):

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .cuckoo import CuckooFilter
-from .tables import prepare, table
+from .tables import carried, extended, prepare, restored, table
 
 # Fixed values of the contract.
 MIN_DOCUMENTS = 10
@@ -101,8 +101,8 @@ class LineIndex:
         that are called n_lines or n_dropped are replaced.
         """
         prepare(self.spark)
-        names = [name for name in docs.columns if name not in ("n_lines", "n_dropped")]
-        inner = docs.select([F.col(f"`{name}`").alias(f"c{k}") for k, name in enumerate(names)])
+        names, inner = carried(docs, ("n_lines", "n_dropped"))
+        schema = extended(inner, "n_lines bigint, n_dropped bigint")
         text = f"c{names.index('text')}"
         inner = inner.withColumn("text_key", F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
         lines = inner.select("text_key", F.coalesce(F.col(text), F.lit("")).alias("text")).mapInArrow(
@@ -112,9 +112,8 @@ class LineIndex:
         confirmed = lines.distinct().join(self.repeated(), "key", "left_semi")
         dropped = confirmed.groupBy("text_key").agg(F.collect_list("line").alias("lines"))
         joined = inner.join(dropped, "text_key", "left").drop("text_key")
-        schema = ", ".join(f"{name} {kind}" for name, kind in inner.drop("text_key").dtypes)
-        done = joined.mapInArrow(_dropping_rows(text), f"{schema}, n_lines bigint, n_dropped bigint")
-        return done.select(*[F.col(f"c{k}").alias(name) for k, name in enumerate(names)], "n_lines", "n_dropped")
+        done = joined.mapInArrow(_dropping_rows(text), schema)
+        return done.select(*restored(names), "n_lines", "n_dropped")
 
     def _sent_filters(self):
         """All filters as a broadcast, or None where they are too large for that."""

@@ -285,7 +285,7 @@ def deduplicated(docs: DataFrame, shingle_words: int, percent: int = PERCENT) ->
     kept = near_duplicates(docs, shingle_words, percent).where("kept and doc_id is not null")
     stay = kept.select("doc_id", F.col("text_key").alias(_TEXT_KEY)).distinct()
     one = named.join(stay, ["doc_id", _TEXT_KEY], "left_semi").dropDuplicates(["doc_id", _TEXT_KEY])
-    return one.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    return one.drop(_TEXT_KEY).unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

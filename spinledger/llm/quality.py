@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .labelled import is_remainder, training_sample
-from .tables import document_rows, prepare, table
+from .tables import carried, document_rows, extended, prepare, restored, table
 from .words import text_chunks
 
 # Fixed values of the contract.
@@ -173,9 +173,7 @@ def quality_scores(docs: DataFrame, network: Network, threshold: float = THRESHO
     doc_id; columns of ``docs`` called score or predicted are replaced.
     """
     prepare(docs.sparkSession)
-    names = [name for name in docs.columns if name not in ("score", "predicted")]
-    inner = docs.select([F.col(f"`{name}`").alias(f"c{k}") for k, name in enumerate(names)])
-    schema = ", ".join(f"{name} {kind}" for name, kind in inner.dtypes)
+    names, inner = carried(docs, ("score", "predicted"))
     sent = docs.sparkSession.sparkContext.broadcast(network)
     text = names.index("text")
 
@@ -186,9 +184,9 @@ def quality_scores(docs: DataFrame, network: Network, threshold: float = THRESHO
                 scores[first : first + len(offsets) - 1] = probabilities(sent.value, data, offsets)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], [*batch.schema.names, "score"])
 
-    scored = inner.mapInArrow(run, f"{schema}, score double")
+    scored = inner.mapInArrow(run, extended(inner, "score double"))
     return scored.select(
-        *[F.col(f"c{k}").alias(name) for k, name in enumerate(names)],
+        *restored(names),
         "score",
         F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"),
     )

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_path
 
@@ -48,3 +49,28 @@ def lower_ascii(text):
 def document_rows(docs: DataFrame) -> DataFrame:
     """(doc_id, text) whatever other columns there are; a null text is an empty one."""
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+
+
+def quoted(names: list[str]) -> list[str]:
+    """Column names as they have to be written where they may hold dots or blanks."""
+    return ["`" + name.replace("`", "``") + "`" for name in names]
+
+
+def carried(docs: DataFrame, added: tuple[str, ...]) -> tuple[list[str], DataFrame]:
+    """(names, frame) with the columns of ``docs`` called c0, c1... so that none can clash.
+
+    Columns of the names in ``added`` are left out: an operator sets them anew.
+    """
+    names = [name for name in docs.columns if name not in added]
+    return names, docs.select([F.col(own).alias(f"c{k}") for k, own in enumerate(quoted(names))])
+
+
+def extended(frame: DataFrame, ddl: str) -> T.StructType:
+    """The schema of ``frame`` with further fields; every field may be null."""
+    fields = [T.StructField(field.name, field.dataType) for field in frame.schema]
+    return T.StructType([*fields, *T.StructType.fromDDL(ddl)])
+
+
+def restored(names: list[str]) -> list[Column]:
+    """The carried columns under their own names."""
+    return [F.col(f"c{k}").alias(name) for k, name in enumerate(names)]

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .labelled import is_remainder, training_sample
-from .tables import document_rows, prepare, table
+from .tables import carried, document_rows, extended, prepare, restored, table
 from .words import NOT_ALPHANUMERIC, distinct_by_text, text_chunks, words_of
 
 # Fixed values of the contract.
@@ -213,10 +213,7 @@ def toxicity_scores(docs: DataFrame, index: Index, threshold: float = THRESHOLD)
     added ones are replaced.
     """
     prepare(docs.sparkSession)
-    added = ("score", "predicted", "evidence")
-    names = [name for name in docs.columns if name not in added]
-    inner = docs.select([F.col(f"`{name}`").alias(f"c{k}") for k, name in enumerate(names)])
-    schema = ", ".join(f"{name} {kind}" for name, kind in inner.dtypes)
+    names, inner = carried(docs, ("score", "predicted", "evidence"))
     sent = docs.sparkSession.sparkContext.broadcast(index)
     column = names.index("text")
     evidence_type = pa.list_(pa.struct([("label", pa.int32()), ("cosine", pa.float64())]))
@@ -238,9 +235,9 @@ def toxicity_scores(docs: DataFrame, index: Index, threshold: float = THRESHOLD)
                 [*batch.columns, pa.array(scores), pa.array(evidence, evidence_type)], [*batch.schema.names, "score", "evidence"]
             )
 
-    scored = inner.mapInArrow(run, f"{schema}, score double, evidence array<struct<label:int,cosine:double>>")
+    scored = inner.mapInArrow(run, extended(inner, "score double, evidence array<struct<label:int,cosine:double>>"))
     return scored.select(
-        *[F.col(f"c{k}").alias(name) for k, name in enumerate(names)],
+        *restored(names),
         "score",
         F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"),
         "evidence",
