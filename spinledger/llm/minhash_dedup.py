@@ -22,6 +22,8 @@ PERCENT = 80
 RELATED = 0.55
 # Members of a chunk of a family, and shingles that a membership matrix has columns for.
 CHUNK = 512
+# Ids are broadcast up to this size, at so many bytes each in memory.
+ID_BYTES, BROADCAST_BYTES = 32, 64 << 20
 COLUMNS = 8192
 _SETS = "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint"
 _TEXT_KEY = "_text_key"
@@ -90,8 +92,12 @@ def _links(rows: DataFrame, classes: DataFrame, shingle_words: int, percent: int
         return None
     sizes = classes.select("cls", "n_shingles", "d1", "d2", "doc_id")
     wanted = stored(sizes.join(families.select(F.col("node").alias("cls")).unionByName(families.select(F.col("component").alias("cls"))).distinct(), "cls"), "wanted")
+    ids = wanted.select("doc_id").distinct()
+    if wanted.count() * ID_BYTES <= BROADCAST_BYTES:
+        # Few enough to be sent to the texts; else the texts are shuffled to them.
+        ids = F.broadcast(ids)
     exact = stored(
-        rows.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
+        rows.join(ids, "doc_id", "left_semi")
         .mapInArrow(_set_rows(shingle_words), f"{_SETS}, shingles binary")
         .drop("doc_id")
         .join(wanted.drop("doc_id"), ["n_shingles", "d1", "d2"])
