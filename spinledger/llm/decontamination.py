@@ -124,10 +124,12 @@ def decontaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, cut_
     for block in range(blocks):
         part = named.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
         matcher = Matcher.of([row["item_id"] for row in part], [row["text"] for row in part], window)
-        if block:
-            found = stored(found, "block-matches")
-        found = found.mapInArrow(_matching_rows(docs.sparkSession.sparkContext.broadcast(matcher), text), whole)
-    done = found.mapInArrow(_cutting_rows(text, cut_text), extended(inner, "n_words bigint, n_hit bigint, items array<string>"))
+        match = _matching_rows(docs.sparkSession.sparkContext.broadcast(matcher), text)
+        if block < blocks - 1:
+            found = stored(found.mapInArrow(match, whole), "block-matches")
+    # The last block is matched and the text cut in one pass through Python.
+    last, cut = match, _cutting_rows(text, cut_text)
+    done = found.mapInArrow(lambda batches: cut(last(batches)), extended(inner, "n_words bigint, n_hit bigint, items array<string>"))
     return done.select(*restored(names), "n_words", "n_hit", "items")
 
 

@@ -21,7 +21,7 @@ WINDOW = 2048
 END_ID = 1
 VOCABULARY = "byte_bpe_50k"
 # Encoded pieces a worker remembers; when full it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 _PIECES = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, `offset` bigint"
@@ -118,6 +118,7 @@ def _encode_rows(path: str, end_id: int):
         encoder = _encoder(path)
         part = TaskContext.get().partitionId()
         end = np.array([end_id], encoder.dtype).tobytes()
+        encoder.known.clear()
         before = 0
         for batch in batches:
             ids = [encoder.encode(text) + end for text in batch.column("text").to_pylist()]
@@ -128,6 +129,8 @@ def _encode_rows(path: str, end_id: int):
                 [pa.array(np.full(len(ids), part, np.int32)), batch.column("doc_id"), pa.array(starts), pa.array(counts), pa.array(ids, pa.binary())],
                 ["part", "doc_id", "before", "n", "ids"],
             )
+        # Workers outlive tasks; what they remember must not add up with other stages' needs.
+        encoder.known.clear()
 
     return run
 

@@ -19,7 +19,7 @@ SPACES = bytes([0x20, *range(0x09, 0x0E)])
 NOT_ALPHANUMERIC = bytes([*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
 
 # Texts are worked through in pieces of about so many bytes, whatever the batch holds.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 # Odd 64-bit constants of the polynomial and of the mixing steps below.
 _BASE = 0x9E3779B97F4A7C15
 _MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
@@ -63,7 +63,7 @@ def _byte_values() -> np.ndarray:
     return values[_lower_table()]
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """The base to the power of 0, 1, 2... and the inverses, both modulo 2**64."""
     both = []
@@ -118,7 +118,7 @@ def words_of(data: np.ndarray, offsets: np.ndarray, delimiters: bytes) -> Words:
     start = np.flatnonzero(first)
     end = np.flatnonzero(last) + 1
     # Sums of byte value times power: the difference of two is the hash of what lies between.
-    powers, inverses = _powers(1 << max(CHUNK_BYTES.bit_length() + 1, size.bit_length()))
+    powers, inverses = _powers(1 << max(CHUNK_BYTES.bit_length(), size.bit_length()))
     sums = np.zeros(size + 1, np.uint64)
     np.cumsum(_byte_values()[data] * powers[:size], out=sums[1:])
     key = mix((sums[end] - sums[start]) * inverses[start])
