@@ -1,0 +1,357 @@
+"""Classifiers, language model, archives, nearest vectors and the pipeline."""
+
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from compare import compare, duck
+from conftest_llm import SMALL, frame, needs_tables
+from spinledger.llm import gru, labelled, lm_scoring, nearest_vectors, quality, toxicity, warc
+
+MEDIUM = "/root/testdata/sf0.01"
+
+# --- classifiers ---------------------------------------------------------------
+
+
+def held_out(doc_id, modulus, rest):
+    return zlib.crc32(str(doc_id).encode()) % modulus == rest
+
+
+def good_and_bad(rows=160):
+    """Label 1 is prose, label 0 the same in capitals with marks."""
+    out = []
+    for k in range(rows):
+        text = " ".join(f"word{(k * j) % 37} and so on." for j in range(1, 6 + k % 40))
+        out.append((text if k % 2 else text.upper().replace(".", "!!"), k % 2))
+    return out
+
+
+@pytest.fixture(scope="module")
+def network():
+    return quality.fit(good_and_bad(), 0.5)
+
+
+def scores_of(network, texts):
+    data = [text.encode() for text in texts]
+    offsets = np.concatenate(([0], np.cumsum([len(d) for d in data])))
+    return quality.probabilities(network, np.frombuffer(b"".join(data), np.uint8), offsets)
+
+
+def test_network_learns_a_byte_pattern(network):
+    scores = scores_of(network, ["other words and so on. " * 9, "OTHER WORDS AND SO ON!! " * 9])
+    assert scores[0] > 0.8 and scores[1] < 0.2
+
+
+def test_chunks_cover_every_byte():
+    for size in (0, 1, quality.CHUNK - 1, quality.CHUNK, quality.CHUNK + 1, quality.CHUNK + quality.HOP, 5000):
+        data = (np.arange(size) % 251 + 1).astype(np.uint8)
+        chunks, counts = quality.chunked(data, np.array([0, size]))
+        assert counts.tolist() == [len(chunks)]
+        got = np.concatenate([chunks[0], *(chunk[quality.CHUNK - quality.HOP :] for chunk in chunks[1:])])
+        assert got[:size].tolist() == data.tolist() and not got[size:].any()
+
+
+def test_gradients_agree_with_differences(network):
+    rng = np.random.default_rng(1)
+    net = quality.Network(*(p.astype(np.float64).copy() for p in network))
+    chunks = rng.integers(97, 123, (5, quality.CHUNK)).astype(np.uint8)
+    counts, labels, weight = np.array([2, 3]), np.array([0.0, 1.0]), np.ones(2)
+
+    def loss():
+        values = (quality._windows(net, chunks) @ net.filters).reshape(5, -1, quality.FILTERS).max(axis=1)
+        p = 1 / (1 + np.exp(-(quality.pooled(np.maximum(values + net.bias, 0), counts) @ net.final + net.offset)))
+        return -(labels * np.log(p) + (1 - labels) * np.log(1 - p)).mean()
+
+    gradients = quality._gradients(net, chunks, counts, labels, weight)
+    for parameter, gradient, at in ((net.filters, gradients[1], (5, 3)), (net.embed, gradients[0], (100, 1)), (net.bias, gradients[2], (3,)), (net.final, gradients[3], (3,))):
+        old, eps = parameter[at], 1e-5
+        parameter[at] = old + eps
+        up = loss()
+        parameter[at] = old - eps
+        down = loss()
+        parameter[at] = old
+        assert abs((up - down) / (2 * eps) - gradient[at]) < 2e-3
+
+
+def test_quality_of_awkward_rows(spark, awkward, network):
+    rows = quality.quality_scores(awkward, network).collect()
+    assert len(rows) == 10 and all(0 <= row["score"] <= 1 for row in rows)
+    empty = {row["score"] for row in rows if not row["text"]}
+    assert len(empty) == 1 and all(row["predicted"] == int(row["score"] >= 0.3) for row in rows)
+    assert quality.quality_scores(frame(spark, []), network).count() == 0
+
+
+def test_fitting_on_nothing_gives_the_share():
+    network = quality.fit([], 0.9)
+    assert scores_of(network, [""])[0] > 0
+    assert toxicity.build_index([], 0.2).share == 0.2
+
+
+def test_sample_leaves_held_out_rows_alone(spark):
+    docs = frame(spark, [(k, f"t{k}") for k in range(200)] + [(3, "other"), (None, "x")])
+    labels = frame(spark, [(k, k % 2) for k in range(200)] + [(5, None), (None, 1), (7, 3), (999, 1)], "doc_id bigint, toxic int")
+    rows, share = labelled.training_sample(docs, labels, "toxic", 4, 2, 1000)
+    used = {int(text[1:]) for text, _ in rows if text.startswith("t")}
+    assert used == {k for k in range(200) if not held_out(k, 4, 2)} - ({3} if ("other", 1) in rows else set())
+    assert abs(share - 0.5) < 0.1
+    few, _ = labelled.training_sample(docs, labels, "toxic", 4, 2, 10)
+    assert Counter(label for _, label in few) == {0: 10, 1: 10}
+
+
+def index_rows():
+    rows = []
+    for k in range(400):
+        own = [f"w{(k * j * j) % 97}" for j in range(1, 12)]
+        rows.append((" ".join(own + (["vile", f"nasty{k % 3}"] if k % 4 == 0 else [f"kind{k % 5}"])), int(k % 4 == 0)))
+    return rows
+
+
+def test_nearest_examples_are_exact():
+    index = toxicity.build_index(index_rows(), 0.25)
+    dense = np.zeros((len(index.label), len(index.vocabulary)))
+    for word in range(len(index.vocabulary)):
+        a, b = index.pointers[word, 0], index.pointers[word, -1]
+        dense[index.posting_doc[a:b], word] = index.posting_weight[a:b]
+    rng = np.random.default_rng(0)
+    for _ in range(60):
+        word = np.sort(rng.choice(len(index.vocabulary), rng.integers(1, min(6, len(index.vocabulary)) + 1), replace=False))
+        values = rng.random(len(word))
+        values /= np.linalg.norm(values)
+        got, cosines = toxicity.nearest(index, word, values)
+        expected = np.sort((dense[:, word] @ values)[(dense[:, word] @ values) > 0])[::-1][: toxicity.NEIGHBOURS]
+        assert np.allclose(cosines, expected) and np.allclose(dense[got][:, word] @ values, cosines)
+
+
+def test_toxicity_of_awkward_rows(spark, awkward):
+    index = toxicity.build_index(index_rows(), 0.25)
+    rows = toxicity.toxicity_scores(awkward.unionByName(awkward.limit(1).withColumn("text", F.lit("vile, NASTY1!"))), index).collect()
+    assert rows[-1]["predicted"] == 1 and all(e["label"] == 1 for e in rows[-1]["evidence"])
+    assert all(0 <= row["score"] <= 1 for row in rows) and [row["evidence"] for row in rows if not row["text"]] == [[], [], []]
+    assert toxicity.toxicity_scores(frame(spark, []), index).count() == 0
+
+
+@needs_tables
+@pytest.mark.parametrize("query, label, modulus, rest, least", [(quality.op4_quality, "quality", 5, 0, 0.9), (toxicity.op3_toxicity, "toxic", 4, 2, 0.9)])
+def test_held_out_accuracy(spark, query, label, modulus, rest, least):
+    got = query(spark, MEDIUM).collect()
+    assert all(row["held_out"] == held_out(row["doc_id"], modulus, rest) for row in got)
+    labels = {row["doc_id"]: row[label] for row in spark.read.parquet(f"{MEDIUM}/labels.parquet").collect()}
+    judged = [(row["predicted"], labels[row["doc_id"]]) for row in got if row["held_out"] and row["doc_id"] in labels]
+    assert sum(p == y for p, y in judged) / len(judged) >= least
+
+
+# --- language model ------------------------------------------------------------
+
+
+def test_model_is_a_distribution_and_state_is_carried():
+    rng = np.random.default_rng(0)
+    model = gru.start_model(rng.integers(1, 50, 150).astype(float))
+    gru.fit(model, rng.integers(0, 150, 64 * 60), 149)
+    states = rng.normal(size=(3, gru.HIDDEN)).astype(np.float32)
+    for state in states:
+        logs = gru.log_probabilities(model, np.repeat(state[None], 150, 0), np.arange(150))
+        assert abs(np.exp(logs.astype(float)).sum() - 1) < 1e-3
+    texts = [rng.integers(0, 150, n) for n in (0, 1, 5, 131)]
+    offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    got = gru.score_texts(model, np.concatenate(texts), offsets, 149)
+    for text, score in zip(texts, got, strict=True):
+        state, before, total = np.zeros((1, gru.HIDDEN), np.float32), np.array([149]), 0.0
+        for word in text:
+            state = gru.step(model, state, before)[0]
+            total += float(gru.log_probabilities(model, state, np.array([word]))[0])
+            before = np.array([word])
+        assert abs(score - total) < 1e-2
+
+
+def test_training_learns_a_pattern():
+    words = np.tile(np.arange(8), 12000)
+    model = gru.start_model(np.ones(9))
+    offsets = np.array([0, 64])
+    before = gru.score_texts(model, words[:64], offsets, 8)[0]
+    gru.fit(model, words, 8)
+    assert gru.score_texts(model, words[:64], offsets, 8)[0] > before / 2
+
+
+def brute_base(rows):
+    def tokens(text):
+        return re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) + [0]
+
+    counts = Counter()
+    for doc_id, text in rows:
+        if doc_id is None or not held_out(doc_id, 5, 1):
+            counts.update(tokens(text))
+    total, distinct = sum(counts.values()), len(counts)
+    out = []
+    for doc_id, text in rows:
+        own = tokens(text)
+        score = sum(math.log10((counts[t] + 0.5) / (total + 0.5 * (distinct + 1))) for t in own)
+        out.append((doc_id, len(own), sum(t in counts for t in own), total, round(score, 5)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("head", [1 << 17, 50])
+@needs_tables
+def test_base_scores_equal_brute_force(spark, monkeypatch, head):
+    monkeypatch.setattr(lm_scoring, "HEAD_WORDS", head)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    got = lm_scoring.scored_documents(docs).collect()
+    assert sorted(((r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 5)) for r in got), key=repr) == brute_base(
+        [(row["doc_id"], row["text"]) for row in docs.collect()]
+    )
+    assert all(row["score"] < 0 for row in got)
+    if head > 50:
+        assert sum(row["score"] for row in got) > sum(row["base_score"] for row in got)
+
+
+def test_scores_of_awkward_rows_and_of_none(spark, awkward):
+    got = lm_scoring.scored_documents(awkward).collect()
+    rows = [(row["doc_id"], row["text"]) for row in awkward.collect()]
+    assert sorted(((r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 5)) for r in got), key=repr) == brute_base(rows)
+    assert lm_scoring.scored_documents(frame(spark, [])).count() == 0
+
+
+# --- archives ------------------------------------------------------------------
+
+
+@needs_tables
+def test_archive_query_equals_sql(spark):
+    ours, theirs = compare(warc.op9_warc(spark, SMALL), duck(SMALL), warc.SQL)
+    assert ours[0] == theirs[0] and ours[1] == theirs[1]
+
+
+def test_archives_of_awkward_pages(spark, tmp_path):
+    pages = frame(
+        spark,
+        [
+            (1, "http://www.b.example/x?b=2&a=1", "<p>same</p>"), (2, "http://b.example/x?a=1&b=2", "<p>same</p>"), (3, None, None), (4, "", ""),
+            (2, "http://b.example/x", "<p>same</p>"), (None, "http://a.example:8080/\r\nX: y", "é\r\n\r\nWARC/1.1\r\n\r\n"), (None, "http://[bad", "<p>same</p>"),
+        ],
+        "page_id bigint, url string, html string",
+    ).withColumn("size", F.lit("clash")).withColumn("hash", F.lit(1))
+    warc.write_archives(pages, str(tmp_path / "w"))
+    rows = warc.capture_histories(warc.read_archives(spark, str(tmp_path / "w"))).collect()
+    assert sorted(((row["page_id"], row["record_type"], row["refers_to"], row["payload_bytes"]) for row in rows), key=repr) == sorted(
+        [
+            (1, "revisit", 2, 11), (2, "response", None, 11), (2, "response", None, 11), (None, "revisit", 2, 11),
+            (3, "revisit", 4, 0), (4, "response", None, 0), (None, "response", None, 18),
+        ],
+        key=repr,
+    )
+    order = [(row["url_key"], row["captured"]) for row in rows]
+    assert order == sorted(order) and warc.url_key("http://www.b.example/x?b=2&a=1") == "example,b)/x?a=1&b=2"
+    warc.write_archives(pages, str(tmp_path / "long"), min_bytes=12)
+    assert warc.read_archives(spark, str(tmp_path / "long")).where("record_type = 'revisit'").count() == 0
+    warc.write_archives(pages.limit(0), str(tmp_path / "none"))
+    assert warc.capture_histories(warc.read_archives(spark, str(tmp_path / "none"))).count() == 0
+
+
+def test_damaged_archives_are_noticed():
+    text = warc.record_text(1, "u", "abc", warc.payload_digest(b"abc"), 3, None, False) + "\n"
+    (_, header, block), = warc.parse_records(text.encode())
+    assert header["warc-type"] == "response" and block.endswith(b"\r\n\r\nabc")
+    with pytest.raises(ValueError):
+        list(warc.parse_records(text.encode()[:-3]))
+    with pytest.raises(ValueError):
+        list(warc.parse_records(b"junk\r\n"))
+
+
+# --- nearest vectors -----------------------------------------------------------
+
+
+def brute_nearest(rows, queries, k):
+    out = {}
+    for query_id, query in queries:
+        scored = {}
+        for vec_id, vector in rows:
+            if vec_id != query_id:
+                scored[vec_id] = max(scored.get(vec_id, -np.inf), float(np.dot(query, vector)))
+        out[query_id] = sorted(scored.items(), key=lambda item: (-item[1], item[0]))[:k]
+    return out
+
+
+@needs_tables
+def test_recall_against_brute_force(spark):
+    rows = [(r["vec_id"], np.array(r["embedding"], float)) for r in spark.read.parquet(f"{SMALL}/embeddings.parquet").collect()]
+    expected = brute_nearest(rows, [row for row in rows if row[0] % 20 == 0], 20)
+    found = {}
+    for row in nearest_vectors.op10_nearest_vectors(spark, SMALL).orderBy("query_id", "rank").collect():
+        found.setdefault(row["query_id"], []).append((row["vec_id"], row["score"]))
+    assert found.keys() == expected.keys()
+    assert all(len(own) == 20 and [s for _, s in own] == sorted((s for _, s in own), reverse=True) for own in found.values())
+    hits = sum(len({v for v, _ in found[q]} & {v for v, _ in own}) for q, own in expected.items())
+    assert hits >= 0.9 * 20 * len(expected)
+
+
+def test_awkward_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(k, [1.0, 0.0]) for k in range(0, 60)] + [(100, [0.5, 0.5]), (101, [2.0, 0.0]), (102, [-1.0, 0.0])]
+    bad = [(200, None), (201, [0.0, 0.0]), (202, [nan, 1.0]), (203, [inf, 1.0]), (204, [None, 1.0]), (205, [1.0]), (206, []), (None, [1.0, 1.0]), (5, [1.0, 0.0]), (7, [3.0, 0.0])]
+    data = frame(spark, rows + bad, "vec_id bigint, embedding array<float>").withColumn("score", F.lit("clash"))
+    got = nearest_vectors.nearest_vectors(data, data.where("vec_id in (0, 40, 100, 202)"), 5).orderBy("query_id", "rank").collect()
+    found = {}
+    for row in got:
+        found.setdefault(row["query_id"], []).append(row["vec_id"])
+    assert found == {0: [7, 101, 1, 2, 3], 40: [7, 101, 0, 1, 2], 100: [7, 101, 0, 1, 2]}
+    few = frame(spark, [(0, [1.0, 2.0]), (1, [2.0, 1.0]), (2, [-1.0, 0.0])], "vec_id bigint, embedding array<float>")
+    assert [(r["rank"], r["vec_id"], r["score"]) for r in nearest_vectors.nearest_vectors(few, few.where("vec_id = 0")).collect()] == [(1, 1, 4.0), (2, 2, -1.0)]
+    assert nearest_vectors.nearest_vectors(few.limit(0), few.limit(0)).count() == 0
+
+
+def test_many_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(nearest_vectors, "BLOCK_ROWS", 16)
+    rng = np.random.default_rng(4)
+    rows = [(k, rng.normal(size=8).round(3).tolist()) for k in range(300)]
+    data = frame(spark, rows, "vec_id bigint, embedding array<double>")
+    got = nearest_vectors.nearest_vectors(data, data.where("vec_id % 20 = 0"), 10).collect()
+    expected = brute_nearest(rows, [row for row in rows if row[0] % 20 == 0], 10)
+    hits = sum((row["vec_id"], round(row["score"], 9)) in {(v, round(s, 9)) for v, s in expected[row["query_id"]]} for row in got)
+    assert len(got) == 150 and hits >= 135
+
+
+# --- pipeline ------------------------------------------------------------------
+
+
+@needs_tables
+def test_pipeline_equals_its_stages_by_brute_force(spark):
+    from test_near_duplicates import brute
+    from test_texts import brute_hits, check_pieces
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    network = quality.fitted_network(docs, spark.read.parquet(f"{SMALL}/labels.parquet"))
+    rows = {row["doc_id"]: row["text"] for row in docs.collect()}
+    scores = scores_of(network, [text or "" for text in rows.values()])
+    rows = {doc_id: text for (doc_id, text), score in zip(rows.items(), scores, strict=True) if score >= 0.3}
+    keys = Counter(key for text in rows.values() for key in {line.strip(" \t\n\v\f\r") and re.sub("[A-Z]", lambda m: m[0].lower(), line.strip(" \t\n\v\f\r")) for line in text.split("\n")})
+    often = {key for key, n in keys.items() if key and n >= 10}
+    rows = {k: "\n".join(x for x in t.split("\n") if re.sub("[A-Z]", lambda m: m[0].lower(), x.strip(" \t\n\v\f\r")) not in often) for k, t in rows.items()}
+    component = brute(sorted(rows.items()), 5)
+    rows = {k: t for k, t in rows.items() if component[k][1] == k}
+    items = [(row["item_id"], row["text"]) for row in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
+    hits = {k: brute_hits(t, items, 10) for k, t in rows.items()}
+    kept = {k for k, (n, hit, _) in hits.items() if hit <= 0.05 * n}
+    got = corpus_pipeline.run(spark, SMALL).collect()
+    assert {row["doc_id"] for row in got} == kept
+    untouched = {k for k in kept if hits[k][1] == 0}
+    whole = [row for row in got if row["doc_id"] in untouched]
+    for row in whole:
+        assert row["length"] > 0
+    if untouched == kept:
+        check_pieces(got, [rows[k] for k in kept])
+
+
+def test_stages_run_over_awkward_rows(spark, awkward, tmp_path):
+    docs = awkward
+    for name in ("labels", "benchmark"):
+        schema = "doc_id bigint, quality int, toxic int" if name == "labels" else "item_id bigint, text string"
+        frame(spark, [], schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        before = docs
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == before.columns
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() >= 0
