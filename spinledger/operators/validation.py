@@ -101,15 +101,16 @@ def line_message(line_no: Column, reason: Column, value: Column, listen_time: Co
     ).otherwise(F.concat(where, reason, F.lit(" — "), value))
 
 
-def _blocks(judged: DataFrame) -> DataFrame:
+def split_summary(lines: DataFrame) -> DataFrame:
     """One row per split: how many lines, where it starts, its first bad line.
 
     All lines of a split come from one task, so this shrinks the data to one row
-    per split before anything is shuffled. ``headers`` holds the positions of lines
-    that read exactly like the header: one in a sound file, never more than a split
-    has lines. It stays apart from ``bad`` because only the position in the file
-    tells whether such a line is the header or a bad record.
+    per split before anything is shuffled. ``headers`` holds the first two positions of
+    lines that read exactly like the header; a sound file has one such line. It stays
+    apart from ``bad`` because only the position in the file tells whether such a line is
+    the header or a bad record.
     """
+    judged = judge_lines(lines)
     bad = F.struct("pos", "reason", "value", "listen_time")
     header = _is_header()
     return judged.groupBy("file", "block").agg(
@@ -117,7 +118,7 @@ def _blocks(judged: DataFrame) -> DataFrame:
         F.min("pos").alias("first_pos"),
         F.min_by(F.struct("value", header.alias("ok")), "pos").alias("first_line"),
         F.min(F.when(F.col("reason").isNotNull() & ~header, bad)).alias("bad"),
-        F.collect_list(F.when(header, F.col("pos"))).alias("headers"),
+        F.slice(F.array_sort(F.collect_list(F.when(header, F.col("pos")))), 1, 2).alias("headers"),
     )
 
 
@@ -128,12 +129,17 @@ def _with_offsets(blocks: DataFrame) -> DataFrame:
 
 
 def file_verdicts(lines: DataFrame) -> DataFrame:
+    """``verdicts_of`` the splits of ``lines``."""
+    return verdicts_of(split_summary(lines))
+
+
+def verdicts_of(splits: DataFrame) -> DataFrame:
     """(file, ok, reason, line_no, message, row_count, data_rows) per file with content.
 
     ``row_count`` is the number of data rows before the first bad one, or all of
     them; ``data_rows`` is always all of them.
     """
-    blocks = _with_offsets(_blocks(judge_lines(lines)))
+    blocks = _with_offsets(splits)
     # A second line that reads like the header is a bad record of its own.
     repeated = F.array_min(
         F.when(
@@ -222,18 +228,18 @@ def empty_file_verdicts(files: DataFrame) -> DataFrame:
     )
 
 
-def bad_lines(lines: DataFrame) -> DataFrame:
+def bad_lines(lines: DataFrame, splits: DataFrame | None = None) -> DataFrame:
     """(file, line_no, reason, value, message) for every bad line; headers left out.
 
+    ``splits`` is a stored ``split_summary`` of the same lines, which saves a scan of them.
+
     Only bad lines are shuffled. They meet their split's offset on (file, block), a
     key that no hot file can concentrate beyond the size of one split.
     """
     judged = judge_lines(lines)
-    offsets = _with_offsets(
-        lines.groupBy("file", "block").agg(
-            F.count(F.lit(1)).alias("lines"), F.min("pos").alias("first_pos")
-        )
-    ).select("file", "block", "first_pos", "offset")
+    if splits is None:
+        splits = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("lines"), F.min("pos").alias("first_pos"))
+    offsets = _with_offsets(splits.select("file", "block", "lines", "first_pos")).select("file", "block", "first_pos", "offset")
     line_no = F.col("pos") - F.col("first_pos") + F.col("offset") + 1
     return (
         judged.where(F.col("reason").isNotNull())

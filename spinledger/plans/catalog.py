@@ -503,6 +503,31 @@ def validate_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query(
+    _with(
+        _LINES,
+        select=f"""select file, ok and d not in ('07', '08', '09') as ok,
+  case d when '07' then 'header mismatch' when '08' then 'file contains only a header, no data rows'
+         when '09' then 'column count mismatch' else reason end as reason,
+  case d when '07' then 1 when '08' then null when '09' then 2 else line_no end as line_no,
+  case d when '07' then 'header mismatch: expected {",".join(STREAM_COLUMNS)}, got {given.WRONG_HEADER}'
+         when '08' then 'file contains only a header, no data rows'
+         when '09' then 'line 2: column count mismatch — ' || repeat(',', 30000) else message end as message,
+  case when d in ('07', '08', '09') then 0 else row_count end as row_count,
+  case d when '08' then 0 else data_rows end as data_rows
+from (select *, substr(file, 15, 2) as d from verdicts)""",
+    )
+)
+def validate_text_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged files as text on disk: wrong header, header only, over-wide line, bad records."""
+    path = scratch_path(spark, "damaged")
+    lines = given.damaged_files(spark, sf_dir)
+    written = lines.repartition("file").sortWithinPartitions("file", "block", "pos").select("file", "value")
+    written.write.partitionBy("file").text(path)
+    verdicts = file_verdicts(read_lines(spark, path))
+    return verdicts.withColumn("file", F.regexp_extract("file", "/file=([^/]*)/", 1))
+
+
 def _ingested(spark: SparkSession, sf_dir: str, mode: str) -> tuple[Layout, str]:
     layout = Layout(scratch_path(spark, f"ingest-{mode}"))
     ingest(

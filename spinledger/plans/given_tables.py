@@ -6,7 +6,7 @@ inner join drops a share of the event plays by itself.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import STREAM_COLUMNS
@@ -105,6 +105,25 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_headers(_lines_of(table(spark, sf_dir, "events"), _damaged_line()))
 
 
+WRONG_HEADER = "user,track,time"
+WIDE_LINE = "," * 30_000
+
+
+def damaged_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``event_lines`` with whole files damaged too: those of every 7th have a wrong header,
+    those of every 8th nothing but the header, those of every 9th a line of 30,001 fields."""
+    lines = event_lines(spark, sf_dir)
+    day = F.substring("file", 15, 2)
+    first = F.min(F.when(F.col("block") >= 0, F.col("pos"))).over(Window.partitionBy("file"))
+    header = F.col("block") < 0
+    value = (
+        F.when(header & (day == "07"), WRONG_HEADER)
+        .when(~header & (day == "09") & (F.col("pos") == F.col("first")), WIDE_LINE)
+        .otherwise(F.col("value"))
+    )
+    return lines.withColumn("first", first).where(header | (day != "08")).withColumn("value", value).drop("first")
+
+
 def _lines_of(events: DataFrame, value: Column) -> DataFrame:
     day = F.date_format("ts", "yyyy-MM-dd")
     file = F.concat(F.lit("plays-"), day, F.lit(".csv"))

@@ -13,9 +13,10 @@ from ..operators.validation import (
     EMPTY_FILE,
     bad_lines,
     empty_file_verdicts,
-    file_verdicts,
     good_plays,
     judge_lines,
+    split_summary,
+    verdicts_of,
 )
 from ..schemas import VERDICT, Layout
 from ..sources.lines import read_lines, zero_length_files
@@ -141,13 +142,17 @@ def validate(
         others = spark.read.schema(f"{_ddl(VERDICT)}, source_id string").parquet(layout.verdicts)
         known = others.where((F.col("source_id") != source_id) & (F.col("reason") == EMPTY_FILE)).select("file")
         empty_files = empty_files.join(known, "file", "left_anti")
-    judged = file_verdicts(lines).unionByName(empty_file_verdicts(empty_files))
+    # The summary of the splits is stored: verdicts and line numbers come from it, not from
+    # further scans of the text.
+    write_slice(split_summary(lines), layout.splits, source_id)
+    splits = spark.read.parquet(slice_path(layout.splits, source_id))
+    judged = verdicts_of(splits).unionByName(empty_file_verdicts(empty_files))
     write_slice(judged, layout.verdicts, source_id)
     verdicts = read_verdicts(spark, layout, source_id)
     rejects = verdicts.where(~usable).select(*_REJECT)
     if mode == ROW_MODE:
         accepted = verdicts.where(usable).select("file")
-        bad_records = bad_lines(lines).join(accepted, "file", "left_semi")
+        bad_records = bad_lines(lines, splits).join(accepted, "file", "left_semi")
         rejects = rejects.unionByName(bad_records.select(*_REJECT))
     quarantined = write_slice(rejects, layout.quarantine, source_id)
     checked = verdicts.agg(

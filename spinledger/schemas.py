@@ -92,6 +92,10 @@ class Layout:
     def verdicts(self) -> str:
         return self._at("verdicts")
 
+    @property
+    def splits(self) -> str:
+        return self._at("splits")
+
     @property
     def quarantine(self) -> str:
         return self._at("quarantine")
