@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .tables import prepare, stored, table
+from .tables import hashed_sample, prepare, stored, table
 
 # Fixed values of the contract.
 QUERY_EVERY = 20
@@ -163,9 +163,10 @@ def nearest_vectors(rows: DataFrame, queries: DataFrame, neighbours: int = NEIGH
         data.distinct().withColumn("copy", F.row_number().over(few)).where(F.col("copy") <= neighbours + 1).drop("copy"), "vectors"
     )
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda total, x: total + x * x))
-    longest = float(index_rows.agg(F.max(norm)).first()[0])
+    measured = index_rows.agg(F.max(norm), F.count(F.lit(1))).first()
+    longest = float(measured[0])
     hashes = draw_hashes(dimension["d"], longest * (1 + 1e-9))
-    sample = index_rows.orderBy(F.xxhash64("vec_id", "embedding")).limit(FIT_VECTORS).collect()
+    sample = hashed_sample(index_rows, FIT_VECTORS, measured[1], "vec_id", "embedding").collect()
     hashes = fitted(hashes, np.array([row["embedding"] for row in sample], float), neighbours)
 
     sent = spark.sparkContext.broadcast(hashes)

@@ -74,3 +74,15 @@ def extended(frame: DataFrame, ddl: str) -> T.StructType:
 def restored(names: list[str]) -> list[Column]:
     """The carried columns under their own names."""
     return [F.col(f"c{k}").alias(name) for k, name in enumerate(names)]
+
+
+def hashed_sample(frame: DataFrame, count: int, rows: int, *columns: str) -> DataFrame:
+    """``count`` of about ``rows`` rows, those of the smallest hashes; all if there are fewer.
+
+    Rows far above the expected limit are left out before the sort, so that no more than a
+    few times ``count`` rows travel, however many partitions there are.
+    """
+    key = F.xxhash64(*columns)
+    share = min(1.0, 4.0 * (count + 25) / max(rows, 1))
+    low = F.lit(int(-(2**63) + share * (2**64 - 1025)))
+    return frame.where(key <= low).orderBy(key, *columns).limit(count)

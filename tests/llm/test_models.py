@@ -355,3 +355,12 @@ def test_stages_run_over_awkward_rows(spark, awkward, tmp_path):
         docs = stage(spark, docs, str(tmp_path))
         assert docs.columns == before.columns
     assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() >= 0
+
+
+def test_hashed_sample_is_full_and_stable(spark):
+    from spinledger.llm.tables import hashed_sample
+
+    data = spark.range(20_000).withColumnRenamed("id", "doc_id")
+    one = {row[0] for row in hashed_sample(data, 100, 20_000, "doc_id").collect()}
+    assert len(one) == 100 and one == {row[0] for row in hashed_sample(data.repartition(7), 100, 15_000, "doc_id").collect()}
+    assert hashed_sample(data.limit(30), 100, 30, "doc_id").count() == 30
