@@ -26,8 +26,11 @@ OUTER_BIN = 3
 # The plan is fitted on so many vectors, some of which are the queries.
 FIT_VECTORS, FIT_QUERIES = 4096, 192
 TARGET_RECALL = 0.95
-# Vectors and queries of a block, which one task compares.
-BLOCK_ROWS = 4096
+# Vectors and queries of a block, which one task compares: as many as fit well into memory,
+# since each block gives back its best for every query that visits it. Queries are taken
+# so many at once.
+BLOCK_ROWS = 16384
+QUERIES_AT_ONCE = 64
 
 _NORMAL_GRID = np.linspace(-9, 9, 2001)
 _NORMAL = np.array([0.5 * (1 + erf(x / 2**0.5)) for x in _NORMAL_GRID])
@@ -284,8 +287,8 @@ def _best_of_block(neighbours: int):
         ids = dealt["vec_id"].to_numpy()
         vectors = np.stack(dealt["embedding"].to_list())
         out = []
-        for first in range(0, len(probes), 256):
-            some = probes.iloc[first : first + 256]
+        for first in range(0, len(probes), QUERIES_AT_ONCE):
+            some = probes.iloc[first : first + QUERIES_AT_ONCE]
             queries = some["query_id"].to_numpy()
             scores = np.stack(some["embedding"].to_list()) @ vectors.T
             open_ = np.zeros((len(some), len(held)), bool)
