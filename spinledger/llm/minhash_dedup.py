@@ -296,3 +296,28 @@ def deduplicated(docs: DataFrame, shingle_words: int, percent: int = PERCENT) ->
 
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+SQL = """
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce("text", ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w
+  from documents
+), shingles as (
+  select distinct doc_id, case when len(w) = 1 then w[1] else w[i] || ' ' || w[i + 1] end as s
+  from (select doc_id, w, unnest(range(1, greatest(len(w), 2))) as i from words where len(w) > 0)
+), sizes as (
+  select doc_id, count(*) as n from shingles group by doc_id
+), shared as (
+  select a.doc_id as a, b.doc_id as b, count(*) as c from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by all
+), links as (
+  select a, b from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * c >= 80 * (x.n + y.n - c)
+), edges as (
+  select a, b from links union all select b, a from links
+), reached as (
+  select doc_id as node, doc_id as other from documents
+  union
+  select node, b from reached join edges on other = a
+)
+select doc_id, coalesce(n, 0) as n_shingles, component_id, doc_id = component_id as kept
+from (select node as doc_id, min(other) as component_id from reached group by node) left join sizes using (doc_id)
+"""

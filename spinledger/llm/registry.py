@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import decontamination, line_dedup, warc
+from . import decontamination, line_dedup, minhash_dedup, warc
 from .decontamination import op8_decontamination
 from .line_dedup import op7_line_dedup
 from .lm_scoring import op5_lm_scoring
@@ -31,6 +31,7 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_near_duplicates": minhash_dedup.SQL,
     "op7_line_dedup": line_dedup.SQL,
     "op8_decontamination": decontamination.SQL,
     "op9_warc": warc.SQL,
