@@ -7,9 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .components import labelled, merged
 from .setsketch import Shape, band_keys, can_reach, sketches
@@ -114,23 +113,28 @@ def _links(rows: DataFrame, classes: DataFrame, shingle_words: int, percent: int
 def _family_links(families: DataFrame, labels: DataFrame | None, exact: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) inside families that are not one component, at most one per member and block.
 
-    A family is cut into chunks of bounded size, ordered by component. Every two chunks
-    that hold different components meet in a task of their own, where their sets are
-    compared exactly by products of membership matrices.
+    A family is dealt by hash into chunks of about ``CHUNK`` members, large components apart
+    from the rest. Every two chunks that hold different components meet in a task of their
+    own, where their sets are compared exactly by products of membership matrices.
     """
     nodes = families.select("component", F.col("node").alias("cls")).unionByName(families.select("component", F.col("component").alias("cls")).distinct())
     members = labelled(nodes.withColumnRenamed("component", "family"), labels, "cls", "component")
     mixed = members.groupBy("family").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("family")
-    in_order = Window.partitionBy("family").orderBy("component", "cls")
-    placed = stored(
-        members.join(mixed, "family", "left_semi").withColumn("chunk", F.floor((F.row_number().over(in_order) - 1) / F.lit(CHUNK)).cast("int")),
-        "family-members",
+    members = stored(members.join(mixed, "family", "left_semi"), "family-members")
+    # A component that fills chunks has its own; the smaller ones of a family share theirs.
+    pool = F.when(F.col("n") >= CHUNK, F.col("component")).otherwise(F.lit(-1).cast("bigint")).alias("pool")
+    pools = members.groupBy("family", "component").agg(F.count(F.lit(1)).alias("n")).select("family", "component", pool, "n")
+    chunks = pools.groupBy("family", "pool").agg(F.ceil(F.sum("n") / F.lit(CHUNK)).cast("int").alias("chunks"))
+    numbered = pools.drop("n").join(chunks, ["family", "pool"])
+    placed = members.join(numbered, ["family", "component"]).select(
+        "family", "cls", "component", _chunk("pool", F.pmod(F.xxhash64("cls"), "chunks")).alias("chunk")
     )
-    chunks = placed.groupBy("family", "chunk").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    one = chunks.select("family", F.col("chunk").alias("one"), F.col("lo").alias("lo_1"), F.col("hi").alias("hi_1"))
-    two = chunks.select("family", F.col("chunk").alias("two"), F.col("lo").alias("lo_2"), F.col("hi").alias("hi_2"))
-    # Two chunks of one and the same component have nothing to find.
-    blocks = one.join(two, "family").where("one <= two and not (lo_1 = hi_1 and lo_2 = hi_2 and lo_1 = lo_2)").select("family", "one", "two")
+    every = chunks.select("family", "pool", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("k"))
+    every = stored(every.select("family", "pool", _chunk("pool", F.col("k")).alias("chunk")), "chunks")
+    one = every.select("family", F.col("chunk").alias("one"), F.col("pool").alias("pool_1"))
+    two = every.select("family", F.col("chunk").alias("two"), F.col("pool").alias("pool_2"))
+    # Chunks of one and the same component have nothing to find.
+    blocks = one.join(two, "family").where("one <= two and (pool_1 <> pool_2 or pool_1 = -1)").select("family", "one", "two")
     uses = blocks.select("family", "one", "two", F.col("one").alias("chunk")).unionByName(
         blocks.where("one <> two").select("family", "one", "two", F.col("two").alias("chunk"))
     )
@@ -138,9 +142,13 @@ def _family_links(families: DataFrame, labels: DataFrame | None, exact: DataFram
     return rows.groupBy("family", "one", "two").applyInPandas(_block_links(percent), "a bigint, b bigint")
 
 
+def _chunk(pool: str, number: Column) -> Column:
+    return F.concat_ws(":", F.col(pool), number)
+
+
 def _block_links(percent: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        first = int(rows["one"].iloc[0])
+        first = rows["one"].iloc[0]
         left = rows[rows["chunk"] == first].sort_values("cls")
         right = left if rows["two"].iloc[0] == first else rows[rows["chunk"] != first].sort_values("cls")
         root: dict[int, int] = {}
