@@ -19,6 +19,12 @@ from .words import SPACES, binary_array, distinct_by_text, mix, shingle_keys, te
 PERCENT = 80
 # Classes of a bucket whose likely similarity with its smallest one is this belong to its family.
 RELATED = 0.55
+# Members of a chunk of a bucket, whose sketches are compared; rows of small buckets that
+# one task call takes together.
+BUCKET_CHUNK, TOGETHER = 2048, 4096
+# Pairs with fewer equal registers than this part of the limit's are left to no likelihood:
+# more than nine standard deviations below what a pair at the limit has.
+EQUAL_PART = 0.75
 # Members of a chunk of a family, and shingles that a membership matrix has columns for.
 CHUNK = 512
 # Ids are broadcast up to this size, at so many bytes each in memory.
@@ -39,8 +45,10 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = PERC
     How: documents with equal sets form one class, and only a class's sketch goes on, so a
     hot group of copies is one row. Classes meet the smallest class of each bucket of their
     bands; the joint likelihood of two sketches tells which of them belong together as a
-    family, and the full sets confirm a first link for each class. Only families that are
-    not one component then are compared member by member, in blocks of bounded size, so
+    family. Members of a bucket that are of different families then are compared with
+    each other too, sketch by sketch in blocks of bounded size, so that an unrelated smallest
+    class parts nobody. The full sets confirm a first link for each class. Only families
+    that are not one component then are compared member by member, in blocks of bounded size, so
     that no link between their texts is lost; a block gives back the links that connect
     something, not its pairs. Nothing is capped. With the default shape a pair at the limit
     shares no bucket with probability 1e-8.
@@ -83,10 +91,13 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = PERC
 def _links(rows: DataFrame, classes: DataFrame, shingle_words: int, percent: int, shape: Shape) -> DataFrame | None:
     """(node, component) of the classes that confirmed links connect."""
     keys = classes.select("cls", "registers").mapInArrow(_band_rows(shape), "key bigint, cls bigint")
-    crowded = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("cls").alias("first")).where("n > 1").select("key", "first")
-    met = keys.join(crowded, "key").where("cls <> first").select(F.col("first").alias("a"), F.col("cls").alias("b")).distinct()
+    crowded = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("cls").alias("first")).where("n > 1")
+    others = stored(keys.join(crowded, "key").where("cls <> first"), "bucket-members")
+    met = others.select(F.col("first").alias("a"), F.col("cls").alias("b")).distinct()
     related = stored(_estimated(met, classes, percent, shape), "related")
     families = merged(None, related)
+    further = stored(_bucket_links(others.where("n > 2").select("key", "cls"), families, classes, percent, shape), "further")
+    families = merged(families, further)
     if families is None:
         return None
     sizes = classes.select("cls", "n_shingles", "d1", "d2", "doc_id")
@@ -105,11 +116,58 @@ def _links(rows: DataFrame, classes: DataFrame, shingle_words: int, percent: int
     )
     # Each class is checked against the smallest one it seems linked with: most families
     # are one component then, and need no further look.
-    chosen = related.where("credible").groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    credible = related.where("credible").select("a", "b").unionByName(further)
+    chosen = credible.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     labels = merged(None, _confirmed(chosen, exact, percent))
     return merged(labels, _family_links(families, labels, exact, percent))
 
 
+def _bucket_links(others: DataFrame, families: DataFrame | None, classes: DataFrame, percent: int, shape: Shape) -> DataFrame:
+    """Credible links (a, b) between families that share a bucket, at most one per member and block.
+
+    ``others`` are (key, cls) of the members that have met the smallest class of their
+    bucket. Where all of them are of one family nothing is left to find.
+    """
+    members = labelled(others, families, "cls", "component").withColumnRenamed("key", "family")
+    members = stored(_mixed(members), "rests")
+    bins = max(1, members.count() // TOGETHER)
+    registers = classes.select("cls", "n_shingles", "registers")
+    rows = _in_blocks(members, BUCKET_CHUNK).join(registers, "cls")
+    # Chunks that meet themselves, among them all small buckets, share calls.
+    call = F.when(F.col("one") == F.col("two"), F.pmod(F.xxhash64("family"), F.lit(bins))).otherwise(F.col("family"))
+    return rows.withColumn("call", call).groupBy("call", "one", "two").applyInPandas(_sketch_links(percent, shape), "a bigint, b bigint")
+
+
+def _sketch_links(percent: int, shape: Shape):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        same = rows["one"].iloc[0] == rows["two"].iloc[0]
+        rows = rows.sort_values(["family", "cls"])
+        registers = np.frombuffer(b"".join(rows["registers"]), np.int16).reshape(len(rows), -1)
+        sizes, cls = rows["n_shingles"].to_numpy(), rows["cls"].to_numpy()
+        on_left = (rows["chunk"] == rows["one"]).to_numpy()
+        names, component = np.unique(rows["component"].to_numpy(), return_inverse=True)
+        bucket = rows["family"].to_numpy()
+        edges = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))
+        links = []
+        for begin, end in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            here = np.arange(begin, end)
+            right = here if same else here[~on_left[here]]
+            for i in here[on_left[here]].tolist():
+                at = right[(right > i) & (component[right] != component[i])] if same else right[component[right] != component[i]]
+                at = at[(registers[at] == registers[i]).sum(axis=1) >= EQUAL_PART * percent / 100 * shape.registers]
+                if not len(at):
+                    continue
+                own = np.broadcast_to(registers[i], (len(at), registers.shape[1]))
+                good = can_reach(own, registers[at], np.full(len(at), sizes[i]), sizes[at], percent / 100, shape.base)
+                for j in at[good].tolist():
+                    if component[j] != component[i]:
+                        component[component == component[j]] = component[i]
+                        links.append((min(int(cls[i]), int(cls[j])), max(int(cls[i]), int(cls[j]))))
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    return run
+
+
 def _family_links(families: DataFrame, labels: DataFrame | None, exact: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) inside families that are not one component, at most one per member and block.
 
@@ -119,12 +177,23 @@ def _family_links(families: DataFrame, labels: DataFrame | None, exact: DataFram
     """
     nodes = families.select("component", F.col("node").alias("cls")).unionByName(families.select("component", F.col("component").alias("cls")).distinct())
     members = labelled(nodes.withColumnRenamed("component", "family"), labels, "cls", "component")
+    members = stored(_mixed(members), "family-members")
+    rows = _in_blocks(members, CHUNK).join(exact, "cls").select("family", "one", "two", "chunk", "cls", "component", "shingles")
+    return rows.groupBy("family", "one", "two").applyInPandas(_block_links(percent), "a bigint, b bigint")
+
+
+def _mixed(members: DataFrame) -> DataFrame:
+    """The (family, cls, component) rows of families with more than one component."""
     mixed = members.groupBy("family").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("family")
-    members = stored(members.join(mixed, "family", "left_semi"), "family-members")
+    return members.join(mixed, "family", "left_semi")
+
+
+def _in_blocks(members: DataFrame, size: int) -> DataFrame:
+    """(family, one, two, chunk, cls, component): members once for each block they take part in."""
     # A component that fills chunks has its own; the smaller ones of a family share theirs.
-    pool = F.when(F.col("n") >= CHUNK, F.col("component")).otherwise(F.lit(-1).cast("bigint")).alias("pool")
+    pool = F.when(F.col("n") >= size, F.col("component")).otherwise(F.lit(-1).cast("bigint")).alias("pool")
     pools = members.groupBy("family", "component").agg(F.count(F.lit(1)).alias("n")).select("family", "component", pool, "n")
-    chunks = pools.groupBy("family", "pool").agg(F.ceil(F.sum("n") / F.lit(CHUNK)).cast("int").alias("chunks"))
+    chunks = pools.groupBy("family", "pool").agg(F.ceil(F.sum("n") / F.lit(size)).cast("int").alias("chunks"))
     numbered = pools.drop("n").join(chunks, ["family", "pool"])
     placed = members.join(numbered, ["family", "component"]).select(
         "family", "cls", "component", _chunk("pool", F.pmod(F.xxhash64("cls"), "chunks")).alias("chunk")
@@ -138,8 +207,7 @@ def _family_links(families: DataFrame, labels: DataFrame | None, exact: DataFram
     uses = blocks.select("family", "one", "two", F.col("one").alias("chunk")).unionByName(
         blocks.where("one <> two").select("family", "one", "two", F.col("two").alias("chunk"))
     )
-    rows = placed.join(exact, "cls").join(uses, ["family", "chunk"]).select("family", "one", "two", "chunk", "cls", "component", "shingles")
-    return rows.groupBy("family", "one", "two").applyInPandas(_block_links(percent), "a bigint, b bigint")
+    return placed.join(uses, ["family", "chunk"]).select("family", "one", "two", "chunk", "cls", "component")
 
 
 def _chunk(pool: str, number: Column) -> Column:

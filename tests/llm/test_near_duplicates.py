@@ -10,6 +10,7 @@ from compare import compare, duck
 from conftest_llm import SMALL, frame, needs_tables, words
 from spinledger.llm.components import merged
 from spinledger.llm.minhash_dedup import SQL, _linked_pairs, deduplicated, near_duplicates, op1_near_duplicates
+from spinledger.llm.setsketch import Shape
 
 
 def brute(rows, size=2):
@@ -73,6 +74,19 @@ def test_blocks_smaller_than_a_family(spark, family_rows, monkeypatch):
     assert {row["doc_id"]: (row["n_shingles"], row["component_id"]) for row in got} == brute(family_rows)
 
 
+def test_near_copies_among_texts_of_common_passages(spark):
+    """The smallest class of every bucket that two copies share can be an unrelated text."""
+    rng = random.Random(21)
+    passages = [[f"p{n}w{k}" for k in range(6)] for n in range(150)]
+    texts = [sum((passages[n] for n in sorted(rng.sample(range(150), 69))), []) for _ in range(600)]
+    texts += [[*text[:-30], *(f"t{n}e{k}" for k in range(30))] for n, text in enumerate(texts)]
+    rows = [(doc_id, " ".join(text)) for doc_id, text in enumerate(texts)]
+    # Bands of three registers fill the buckets of a small table as six do those of a large one.
+    got = {row["doc_id"]: row["component_id"] for row in near_duplicates(frame(spark, rows), shape=Shape(bands=20, rows=3)).collect()}
+    # The copies overlap by 86 %, all other pairs by about 30 %.
+    assert got == {doc_id: doc_id - 600 if doc_id >= 600 else doc_id for doc_id in range(1200)}
+
+
 def test_linked_pairs_count_exactly(monkeypatch):
     monkeypatch.setattr("spinledger.llm.minhash_dedup.COLUMNS", 3)
     sets = [np.array(own, np.uint64).tobytes() for own in ([1, 2, 3, 4], [1, 2, 3, 4, 5], [1, 2, 9, 10], [])]
