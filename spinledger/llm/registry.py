@@ -13,6 +13,7 @@ from .nearest_vectors import op10_nearest_vectors
 from .packing import op6_packing
 from .quality import op4_quality
 from .secrets_scan import op2_secrets
+from .simhash_dedup import op12_simhash
 from .toxicity import op3_toxicity
 from .warc import op9_warc
 
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_warc": op9_warc,
     "op10_nearest_vectors": op10_nearest_vectors,
+    "op12_simhash": op12_simhash,
     "pipeline": corpus_pipeline.run,
 }
 
