@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import decontamination, line_dedup, minhash_dedup, warc
+from . import decontamination, line_dedup, minhash_dedup, spelling_variants, warc
 from .decontamination import op8_decontamination
 from .line_dedup import op7_line_dedup
 from .lm_scoring import op5_lm_scoring
@@ -14,6 +14,7 @@ from .packing import op6_packing
 from .quality import op4_quality
 from .secrets_scan import op2_secrets
 from .simhash_dedup import op12_simhash
+from .spelling_variants import op13_spelling_variants
 from .toxicity import op3_toxicity
 from .warc import op9_warc
 
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_nearest_vectors": op10_nearest_vectors,
     "op12_simhash": op12_simhash,
+    "op13_spelling_variants": op13_spelling_variants,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -37,6 +39,7 @@ ORACLES: dict[str, str] = {
     "op7_line_dedup": line_dedup.SQL,
     "op8_decontamination": decontamination.SQL,
     "op9_warc": warc.SQL,
+    "op13_spelling_variants": spelling_variants.SQL,
 }
 
 if corpus_pipeline.ORACLE_SQL is not None:
