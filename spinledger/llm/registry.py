@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import decontamination, line_dedup, minhash_dedup, spelling_variants, warc
+from . import decontamination, line_dedup, minhash_dedup, periodic_runs, spelling_variants, warc
 from .decontamination import op8_decontamination
 from .line_dedup import op7_line_dedup
 from .lm_scoring import op5_lm_scoring
 from .minhash_dedup import op1_near_duplicates
 from .nearest_vectors import op10_nearest_vectors
 from .packing import op6_packing
+from .periodic_runs import op11_periodic_runs
 from .quality import op4_quality
 from .secrets_scan import op2_secrets
 from .simhash_dedup import op12_simhash
@@ -29,6 +30,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_warc": op9_warc,
     "op10_nearest_vectors": op10_nearest_vectors,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_simhash": op12_simhash,
     "op13_spelling_variants": op13_spelling_variants,
     "pipeline": corpus_pipeline.run,
@@ -39,6 +41,7 @@ ORACLES: dict[str, str] = {
     "op7_line_dedup": line_dedup.SQL,
     "op8_decontamination": decontamination.SQL,
     "op9_warc": warc.SQL,
+    "op11_periodic_runs": periodic_runs.SQL,
     "op13_spelling_variants": spelling_variants.SQL,
 }
 
