@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -26,8 +27,10 @@ EMBED, FILTERS = 4, 24
 EPOCHS, BATCH, RATE = 8, 32, 0.01
 # Chunks that are convolved at once.
 AT_ONCE = 256
-# A fitting step takes at most so many chunks of a document, spread over all of it.
-FIT_CHUNKS = 40
+# Fitted weights are multiples of these, below LIMIT in size. Every product and every sum of
+# them then is exact in single precision, so that a response depends on its bytes alone and
+# not on what else shares a batch or on the order of summation.
+EMBED_STEP, FILTER_STEP, LIMIT = 2.0**-7, 2.0**-8, 3.9
 
 
 class Network(NamedTuple):
@@ -68,12 +71,19 @@ def _windows(network: Network, chunks: np.ndarray) -> np.ndarray:
 
 def responses(network: Network, chunks: np.ndarray) -> np.ndarray:
     """The largest response of each filter in each chunk (chunks x FILTERS)."""
-    out = np.empty((len(chunks), FILTERS), np.float32)
+    return np.maximum(_largest(network, chunks)[0] + network.bias, 0)
+
+
+def _largest(network: Network, chunks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(value, place) of the largest product of each filter in each chunk."""
+    value = np.empty((len(chunks), FILTERS), network.filters.dtype)
+    where = np.empty((len(chunks), FILTERS), np.int64)
     for first in range(0, len(chunks), AT_ONCE):
         part = chunks[first : first + AT_ONCE]
         values = (_windows(network, part) @ network.filters).reshape(len(part), -1, FILTERS)
-        out[first : first + AT_ONCE] = values.max(axis=1)
-    return np.maximum(out + network.bias, 0)
+        at = where[first : first + AT_ONCE] = values.argmax(axis=1)
+        value[first : first + AT_ONCE] = np.take_along_axis(values, at[:, None, :], 1)[:, 0, :]
+    return value, where
 
 
 def pooled(pool: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -83,9 +93,22 @@ def pooled(pool: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def probabilities(network: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The probability of label 1 of each text; equal texts get equal ones, whatever lies beside them."""
     chunks, counts = chunked(data, offsets)
-    logits = pooled(responses(network, chunks), counts) @ network.final + network.offset
-    return 1.0 / (1.0 + np.exp(-np.clip(logits.astype(np.float64), -40, 40)))
+    values = pooled(responses(network, chunks).astype(np.float64), counts)
+    # Sums in one fixed order.
+    logits = np.full(len(counts), float(network.offset[0]))
+    for column, weight in enumerate(network.final.tolist()):
+        logits += values[:, column] * weight
+    return np.array([1.0 / (1.0 + math.exp(-min(max(logit, -40.0), 40.0))) for logit in logits.tolist()])
+
+
+def _exact(network: Network) -> Network:
+    def rounded(values: np.ndarray, step: float) -> np.ndarray:
+        return (np.round(np.clip(values, -LIMIT, LIMIT) / step) * step).astype(np.float32)
+
+    bias = rounded(network.bias, EMBED_STEP * FILTER_STEP)
+    return network._replace(embed=rounded(network.embed, EMBED_STEP), filters=rounded(network.filters, FILTER_STEP), bias=bias)
 
 
 def fit(rows: list[tuple[str, int]], share: float, seed: int = 11) -> Network:
@@ -101,7 +124,7 @@ def fit(rows: list[tuple[str, int]], share: float, seed: int = 11) -> Network:
     labels = np.array([label for _, label in rows], np.float32)
     share = min(max(share, 0.001), 0.999)
     if len(rows) and 0 < labels.mean() < 1:
-        texts = [_some_chunks(text) for text, _ in rows]
+        texts = [_chunks(text) for text, _ in rows]
         # Both classes weigh the same while fitting.
         weight = np.where(labels == 1, 0.5 / labels.mean(), 0.5 / (1 - labels.mean())).astype(np.float32)
         moments = [(np.zeros_like(p), np.zeros_like(p)) for p in network]
@@ -120,22 +143,17 @@ def fit(rows: list[tuple[str, int]], share: float, seed: int = 11) -> Network:
                     parameter -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-7)
     # From equal classes back to their true shares.
     network.offset[:] += np.log(share / (1 - share))
-    return network
+    return _exact(network)
 
 
-def _some_chunks(text: str) -> np.ndarray:
+def _chunks(text: str) -> np.ndarray:
     data = np.frombuffer(text.encode(), np.uint8)
-    chunks, _ = chunked(data, np.array([0, len(data)]))
-    if len(chunks) > FIT_CHUNKS:
-        chunks = chunks[np.linspace(0, len(chunks) - 1, FIT_CHUNKS).astype(int)]
-    return chunks
+    return chunked(data, np.array([0, len(data)]))[0]
 
 
 def _gradients(network: Network, chunks: np.ndarray, counts: np.ndarray, labels: np.ndarray, weight: np.ndarray):
-    windows = _windows(network, chunks)
-    values = (windows @ network.filters).reshape(len(chunks), -1, FILTERS)
-    where = values.argmax(axis=1)
-    raw = np.take_along_axis(values, where[:, None, :], 1)[:, 0, :] + network.bias
+    largest_at, where = _largest(network, chunks)
+    raw = largest_at + network.bias
     pool = np.maximum(raw, 0)
     both = pooled(pool, counts)
     error = (1 / (1 + np.exp(-np.clip(both @ network.final + network.offset, -30, 30))) - labels) * weight / len(labels)
@@ -147,18 +165,13 @@ def _gradients(network: Network, chunks: np.ndarray, counts: np.ndarray, labels:
     largest = pool >= both[text, :FILTERS]
     share = np.add.reduceat(largest.astype(np.float32), np.cumsum(counts) - counts)
     to_pool = (to_pool + largest * (back[:, :FILTERS] / share)[text]) * (raw > 0)
-    # Only the places of the maxima take part in what follows.
-    places = values.shape[1]
-    at = (np.arange(len(chunks))[:, None] * places + where).reshape(-1)
-    flow = to_pool.reshape(-1)
-    of_filter = np.tile(np.arange(FILTERS), len(chunks))
-    to_filters = np.zeros_like(network.filters)
-    to_windows = flow[:, None] * network.filters.T[of_filter]
+    # Only the bytes under the places of the maxima take part in what follows.
+    bytes_at = (where * STRIDE)[:, :, None] + np.arange(WIDTH)
+    bytes_ = chunks[np.arange(len(chunks))[:, None, None], bytes_at]
+    to_filters = np.empty_like(network.filters)
+    to_windows = to_pool[:, :, None] * network.filters.T[None]
     for k in range(FILTERS):
-        own = of_filter == k
-        to_filters[:, k] = windows[at[own]].T @ flow[own]
-    bytes_at = (where.reshape(-1) * STRIDE)[:, None] + np.arange(WIDTH)
-    bytes_ = chunks[np.repeat(np.arange(len(chunks)), FILTERS)[:, None], bytes_at]
+        to_filters[:, k] = network.embed[bytes_[:, k]].reshape(len(chunks), -1).T @ to_pool[:, k]
     to_embed = np.zeros_like(network.embed)
     parts = to_windows.reshape(-1, EMBED)
     for k in range(EMBED):
@@ -170,7 +183,9 @@ def quality_scores(docs: DataFrame, network: Network, threshold: float = THRESHO
     """``docs`` with score (probability of label 1) and predicted, from whole texts.
 
     A null text scores as an empty one. Every row is scored by itself, whatever its
-    doc_id; columns of ``docs`` called score or predicted are replaced.
+    doc_id or neighbours, so equal texts get equal scores; columns of ``docs`` called score
+    or predicted are replaced. Every byte of a very long text takes part, 256 chunks at a
+    time. An empty table gives no rows.
     """
     prepare(docs.sparkSession)
     names, inner = carried(docs, ("score", "predicted"))
@@ -193,7 +208,11 @@ def quality_scores(docs: DataFrame, network: Network, threshold: float = THRESHO
 
 
 def fitted_network(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Network:
-    """Learns from labels of rows that are not held out, at most ``per_class`` of each class."""
+    """Learns from labels of rows that are not held out, all bytes of each text.
+
+    At most ``per_class`` texts of each class, and of both together no more than the bytes
+    that ``training_sample`` allows. Without labels the network gives the same score to all.
+    """
     rows, share = training_sample(docs, labels, "quality", MODULUS, HELD_OUT, per_class)
     return fit(rows, share)
 

@@ -87,6 +87,32 @@ def test_quality_of_awkward_rows(spark, awkward, network):
     assert quality.quality_scores(frame(spark, []), network).count() == 0
 
 
+def test_equal_texts_score_alike_in_any_batch(network):
+    rng = np.random.default_rng(5)
+    texts = ["", "same text " * 40] + ["".join(map(chr, rng.integers(32, 500, rng.integers(1, 3000)))) for _ in range(60)]
+    alone = [scores_of(network, [text])[0] for text in texts]
+    for size in (7, 62, 1000):
+        batch = [texts[k] for k in rng.integers(0, len(texts), size)]
+        assert list(scores_of(network, batch)) == [alone[texts.index(text)] for text in batch]
+
+
+def test_fitted_on_every_byte_of_long_texts():
+    rng = np.random.default_rng(2)
+    filler = "plain words all over the page " * 900
+    rows = [(filler[: 20_000 + k] + ("~|~|~|~| " * 30 if k % 2 else "") + filler[:500], k % 2) for k in range(60)]
+    network = quality.fit([rows[k] for k in rng.permutation(60)], 0.5)
+    scores = scores_of(network, [text for text, _ in rows])
+    assert min(s for s, (_, label) in zip(scores, rows, strict=True) if label) > max(s for s, (_, label) in zip(scores, rows, strict=True) if not label)
+
+
+def test_sample_is_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(labelled, "SAMPLE_BYTES", 1000)
+    docs = frame(spark, [(k, "x" * 90) for k in range(100)])
+    labels = frame(spark, [(k, k % 2) for k in range(100)], "doc_id bigint, toxic int")
+    rows, _ = labelled.training_sample(docs, labels, "toxic", 4, 2, 1000)
+    assert len(rows) == 11 and {label for _, label in rows} == {0, 1}
+
+
 def test_fitting_on_nothing_gives_the_share():
     network = quality.fit([], 0.9)
     assert scores_of(network, [""])[0] > 0
