@@ -58,10 +58,15 @@ def periodic_runs(docs: DataFrame, long_chars: int = LONG_CHARS) -> DataFrame:
     dealt = texts.where(is_long).mapInArrow(_tile_rows, tile).repartition(F.col("row"), F.col("s"), F.col("border"))
     fragments = near.unionByName(dealt.mapInArrow(_solve, _FRAGMENT))
     by_row = stored(_runs(fragments), "periodic-runs")
-    both = texts.join(by_row, "row", "left").select("row", "text", F.coalesce("runs", F.array().cast(_RUNS)).alias("runs"))
-    collapsed = both.mapInArrow(_collapsed_rows, f"row bigint, runs {_RUNS}, collapsed string")
-    rows = first.drop("text").join(collapsed, "row", "left")
-    return rows.select("doc_id", F.coalesce("runs", F.array().cast(_RUNS)).alias("runs"), F.coalesce("plain", "collapsed").alias("collapsed_sha256"))
+    # By shuffle at any size: the few texts with repeats are far larger than their runs.
+    repeats = first.where("text is not null").join(by_row.hint("merge"), "row", "left").select("doc_id", "text", F.coalesce("runs", _no_runs()).alias("runs"))
+    collapsed = repeats.mapInArrow(_collapsed_rows, f"doc_id bigint, runs {_RUNS}, collapsed_sha256 string")
+    plain = first.where("text is null").select("doc_id", _no_runs().alias("runs"), F.col("plain").alias("collapsed_sha256"))
+    return plain.unionByName(collapsed)
+
+
+def _no_runs() -> Column:
+    return F.array().cast(_RUNS)
 
 
 _FRAGMENT = "row bigint, period bigint, lo bigint, hi bigint"
@@ -160,7 +165,7 @@ def _collapsed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         for text, runs in zip(batch.column("text").cast(pa.large_binary()), batch.column("runs"), strict=True):
             spans = np.array([(0, 0, run["start"] + run["period"], run["start"] + run["length"]) for run in runs.as_py()], np.int64).reshape(-1, 4)
             digests.append(_digest(text.as_py(), [(int(a), int(b)) for _, _, a, b in joined(spans)]))
-        yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("runs"), pa.array(digests)], ["row", "runs", "collapsed"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("runs"), pa.array(digests, pa.string())], ["doc_id", "runs", "collapsed_sha256"])
 
 
 def with_planted_repeats(docs: DataFrame) -> DataFrame:
