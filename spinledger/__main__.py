@@ -22,7 +22,8 @@ from spinledger.plans.ingest import (  # noqa: E402
 from spinledger.schemas import Layout  # noqa: E402
 from spinledger.session import build_session  # noqa: E402
 from spinledger.sources.csv_tables import read_songs, read_users  # noqa: E402
-from spinledger.sources.lines import read_lines, zero_length_files  # noqa: E402
+from spinledger.sources.lines import read_lines  # noqa: E402
+from spinledger.sources.listing import zero_length_files  # noqa: E402
 from spinledger.streaming.pipeline import start_stream  # noqa: E402
 
 
@@ -40,7 +41,7 @@ def parser() -> argparse.ArgumentParser:
         if tables:
             sub.add_argument("--songs", required=True, help="songs CSV")
             sub.add_argument("--users", required=True, help="users CSV")
-            sub.add_argument("--rebalance", action="store_true", help="even out file sizes of a backfill")
+            sub.add_argument("--no-rebalance", dest="rebalance", action="store_false", help="write straight from the join, for arrivals of one day")
         return sub
 
     job("validate", "judge the files of one key", tables=False)
@@ -50,7 +51,7 @@ def parser() -> argparse.ArgumentParser:
     stream = job("stream", "run for every file that arrives below <raw-root>/streams")
     stream.add_argument("--checkpoint", required=True)
     stream.add_argument("--archive-root")
-    stream.add_argument("--max-files-per-trigger", type=int, default=1)
+    stream.add_argument("--max-files-per-trigger", type=int, help="default: all that wait")
     stream.add_argument("--continuous", action="store_true", help="keep running after the backlog")
     return top
 

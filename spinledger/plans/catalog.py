@@ -7,6 +7,7 @@ the shared scratch space and return what they read back.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,8 @@ from ..session import scratch_path
 from ..sources import manifest
 from ..sources.csv_tables import read_songs, read_streams, read_users
 from ..sources.lines import read_lines
-from ..sources.paths import exists
+from ..sources.listing import file_versions
+from ..sources.paths import exists, names_below, rename_file, write_note
 from ..sources.tables import read_enriched, read_kpis, slice_path, write_enriched
 from ..streaming.pipeline import start_stream
 from . import given_tables as given
@@ -646,6 +648,92 @@ def archive_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return folders.where("files > 0")
 
 
+def _by_folder(spark: SparkSession, root: str) -> DataFrame:
+    """Files and plays below the raw and the archive folder, where there are any."""
+    folders = []
+    for name in ("raw", "archived"):
+        if exists(spark, f"{root}/{name}/streams") and not file_versions(spark, f"{root}/{name}/streams").isEmpty():
+            lines = read_lines(spark, f"{root}/{name}/streams").where(F.col("value") != ",".join(STREAM_COLUMNS))
+            folders.append(lines.agg(F.lit(name).alias("folder"), F.countDistinct("file").alias("files"), F.count(F.lit(1)).alias("plays")))
+    return reduce(DataFrame.unionByName, folders)
+
+
+@_query(
+    _with(
+        _EN,
+        select="""select 'archived' as folder, count(distinct strftime(ts, '%Y-%m-%d') || (event_type = 'view')) as files,
+  count(*) as plays, (select count(*) from en) as loaded from events""",
+    )
+)
+def archive_two_nights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two nights' files of one folder, each run and archived: nothing of the first night is lost."""
+    root = scratch_path(spark, "nights")
+    layout = Layout(f"{root}/tables")
+    songs = given.text_ids(given.songs(spark, sf_dir))
+    users = given.text_ids(given.suppliers_as_users(spark, sf_dir))
+    for night in (given.views, given.other_than_views):
+        plays = given.text_ids(night(spark, sf_dir)).withColumn("listen_time", F.date_format("listen_time", given.TIME_FORMAT))
+        plays = plays.withColumn("day", F.substring("listen_time", 1, 10))
+        plays.repartition("day").write.mode("append").partitionBy("day").csv(f"{root}/raw/streams", header=True)
+        run_and_archive(spark, f"{root}/raw", f"{root}/archived", "streams", songs, users, layout)
+    loaded = read_kpis(spark, layout.daily_genre).agg(F.sum("listen_count").alias("loaded"))
+    return _by_folder(spark, root).join(loaded)
+
+
+def _deliver_lines(spark: SparkSession, lines: DataFrame, path: str) -> list[str]:
+    """One text file per file of ``lines``, always under the same name; returns the names."""
+    aside = scratch_path(spark, "delivered")
+    written = lines.repartition("file").sortWithinPartitions("file", "block", "pos").select("file", "value")
+    written.write.partitionBy("file").text(aside)
+    # A handful of files per day of events: each gets its own name.
+    files = [name.removeprefix("file=") for name in names_below(spark, aside) if name.startswith("file=")]
+    for file in files:
+        part = next(name for name in names_below(spark, f"{aside}/file={file}") if name.startswith("part-"))
+        rename_file(spark, f"{aside}/file={file}/{part}", f"{path}/{file}")
+    return files
+
+
+@_query(
+    """select file, case when d in ('05', '06', '07', '08') then 'raw' else 'archived' end as folder,
+  case d when '05' then 'file is empty' when '06' then 'could not be loaded' when '07' then 'header mismatch'
+         when '08' then 'file contains only a header, no data rows' end as reason
+from (select distinct 'plays-' || strftime(ts, '%Y-%m-%d') || '.csv' || case when strftime(ts, '%d') = '06' then '.gz' else '' end as file,
+        strftime(ts, '%d') as d from events)"""
+)
+def stream_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream over a file per day: empty, unreadable, damaged ones stay with their reason, the sound ones are archived."""
+    root = scratch_path(spark, "outcomes")
+    layout, streams = Layout(f"{root}/tables"), f"{root}/raw/streams"
+    day = F.substring("file", 15, 2)
+    header = F.col("block") < 0
+    lines = given.day_lines(spark, sf_dir).where(header | (day != "08")).withColumn("value", F.when(header & (day == "07"), given.WRONG_HEADER).otherwise(F.col("value")))
+    for file in _deliver_lines(spark, lines, streams):
+        if file[14:16] == "05":
+            write_note(spark, f"{streams}/{file}", "")
+        if file[14:16] == "06":
+            # Plain text under the name of a compressed file: reading it raises.
+            rename_file(spark, f"{streams}/{file}", f"{streams}/{file}.gz")
+    songs = given.text_ids(given.songs(spark, sf_dir))
+    users = given.text_ids(given.suppliers_as_users(spark, sf_dir))
+    start_stream(streams, songs, users, layout, f"{root}/checkpoint", archive_path=f"{root}/archived").awaitTermination()
+    name = F.regexp_extract("file", "([^/]*)$", 1).alias("file")
+    folders = [file_versions(spark, f"{root}/{folder}").select(name, F.lit(folder).alias("folder")) for folder in ("raw", "archived") if exists(spark, f"{root}/{folder}")]
+    return reduce(DataFrame.unionByName, folders).join(spark.read.parquet(layout.quarantine).select(name, "reason"), "file", "left")
+
+
+@_query(_with(_EN_REDELIVERED, _DAILY, select="select * from daily"))
+def stream_new_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files delivered again under their names while the stream rests; their second version counts."""
+    root = scratch_path(spark, "versions")
+    layout = Layout(f"{root}/tables")
+    songs = given.text_ids(given.songs(spark, sf_dir))
+    users = given.text_ids(given.suppliers_as_users(spark, sf_dir))
+    for views in (True, False):
+        _deliver_lines(spark, given.sound_lines(spark, sf_dir, views), f"{root}/streams")
+        start_stream(f"{root}/streams", songs, users, layout, f"{root}/checkpoint").awaitTermination()
+    return read_kpis(spark, layout.daily_genre)
+
+
 # --- serving -------------------------------------------------------------------
 
 _SERVED: dict[tuple[str, str], Layout] = {}

@@ -95,6 +95,11 @@ def sound_lines(spark: SparkSession, sf_dir: str, views: bool) -> DataFrame:
     return _with_headers(_lines_of(table(spark, sf_dir, "events").where(chosen), _line()))
 
 
+def day_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as lines of one file per day, without bad records."""
+    return _with_headers(_lines_of(table(spark, sf_dir, "events"), _line()))
+
+
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events as lines of one file per day, split by the hour.
 

@@ -19,16 +19,17 @@ from ..operators.validation import (
     verdicts_of,
 )
 from ..schemas import VERDICT, Layout
-from ..sources.lines import read_lines, zero_length_files
+from ..sources.lines import read_lines
+from ..sources.listing import zero_length_files
 from ..sources.manifest import read_dates_manifest, write_dates_manifest
-from ..sources.paths import archive_input, days_of, exists, key_below
+from ..sources.paths import days_of, exists, is_folder
 from ..sources.tables import changed_slices, clear_partitions, drop_files, slice_path, write_enriched, write_slice
 from .load import refresh_kpis
 
 FILE_MODE = "files"
 ROW_MODE = "rows"
 
-_REJECT = ["file", "line_no", "reason", "message"]
+QUARANTINED_COLUMNS = ["file", "line_no", "reason", "message"]
 
 
 def source_id_of(object_key: str) -> str:
@@ -76,26 +77,23 @@ def run_and_archive(
 ) -> dict[str, int]:
     """``run_batch`` on one key, a file or a folder, whose accepted files move to the archive.
 
-    Rejected files stay where they are, next to their entry in the quarantine.
+    Rejected files stay where they are, next to their entry in the quarantine, and so do files that
+    arrive while the run goes on. A file delivered again under its key replaces its plays, also
+    in the archive. Each delivery of a folder adds to what earlier ones stored. A run
+    that was interrupted anywhere can be repeated.
     """
-    metrics = run_batch(
-        spark,
-        f"{raw_root.rstrip('/')}/{object_key}",
-        songs,
-        users,
-        layout,
-        source_id=source_id_of(object_key),
-        **options,
-    )
-    if metrics["files_rejected"] == 0:
-        archive_input(spark, raw_root, archive_root, object_key)
-    else:
-        # One rename per file, by the file system; the names alone come here, in pieces.
-        usable = read_verdicts(spark, layout, source_id_of(object_key)).where(_usable(options.get("mode", FILE_MODE)))
-        for row in usable.select("file").toLocalIterator():
-            key = key_below(spark, raw_root, row["file"])
-            archive_input(spark, raw_root, archive_root, key)
-    return metrics
+    from .arrivals import deliver
+
+    mode = options.get("mode", FILE_MODE)
+    for field, value in {"raw_root": raw_root, "archive_root": archive_root, "object_key": object_key}.items():
+        if not value:
+            raise ValueError(f"Required field missing: {field}")
+    path = f"{raw_root.rstrip('/')}/{object_key}"
+
+    def run(source_id: str) -> dict[str, int]:
+        return run_batch(spark, path, songs, users, layout, source_id=source_id, **options)
+
+    return deliver(spark, raw_root, archive_root, layout, object_key, source_id_of(object_key), is_folder(spark, path), run, mode)
 
 
 def ingest(
@@ -136,7 +134,7 @@ def validate(
     mode: str = FILE_MODE,
 ) -> dict[str, int]:
     """Store a verdict per file and what is set aside, with the reasons."""
-    usable = _usable(mode)
+    good = usable(mode)
     # An empty file is reported by the arrival that met it first.
     if exists(spark, layout.verdicts):
         others = spark.read.schema(f"{_ddl(VERDICT)}, source_id string").parquet(layout.verdicts)
@@ -149,15 +147,15 @@ def validate(
     judged = verdicts_of(splits).unionByName(empty_file_verdicts(empty_files))
     write_slice(judged, layout.verdicts, source_id)
     verdicts = read_verdicts(spark, layout, source_id)
-    rejects = verdicts.where(~usable).select(*_REJECT)
+    rejects = verdicts.where(~good).select(*QUARANTINED_COLUMNS)
     if mode == ROW_MODE:
-        accepted = verdicts.where(usable).select("file")
+        accepted = verdicts.where(good).select("file")
         bad_records = bad_lines(lines, splits).join(accepted, "file", "left_semi")
-        rejects = rejects.unionByName(bad_records.select(*_REJECT))
+        rejects = rejects.unionByName(bad_records.select(*QUARANTINED_COLUMNS))
     quarantined = write_slice(rejects, layout.quarantine, source_id)
     checked = verdicts.agg(
         F.count(F.lit(1)).alias("files_checked"),
-        F.count_if(~usable).alias("files_rejected"),
+        F.count_if(~good).alias("files_rejected"),
         F.coalesce(F.sum("data_rows"), F.lit(0)).alias("rows_checked"),
     ).first()
     return {**checked.asDict(), "quarantined": quarantined}
@@ -181,7 +179,7 @@ def transform(
     """
     # Files set aside are few in a sound delivery: where there are none, the lines are not
     # joined at all, and else Catalyst broadcasts their names while they are small.
-    rejected = read_verdicts(spark, layout, source_id).where(~_usable(mode)).select("file")
+    rejected = read_verdicts(spark, layout, source_id).where(~usable(mode)).select("file")
     taken = lines if rejected.isEmpty() else lines.join(rejected, "file", "left_anti")
     plays = good_plays(judge_lines(taken))
     _take_back(spark, layout, source_id, mode)
@@ -207,27 +205,27 @@ def _take_back(spark: SparkSession, layout: Layout, source_id: str, mode: str) -
     The days concerned go into the manifest first. If the run stops in between, its
     repetition refreshes them even where nothing is left to take back.
     """
-    usable = read_verdicts(spark, layout, source_id).where(_usable(mode)).select("file")
+    taken = read_verdicts(spark, layout, source_id).where(usable(mode)).select("file")
     every = spark.read.schema(f"{_ddl(VERDICT)}, source_id string").parquet(layout.verdicts)
-    shared = every.where(F.col("source_id") != source_id).join(usable, "file", "left_semi")
+    shared = every.where(F.col("source_id") != source_id).join(taken, "file", "left_semi")
     slices = [
         (day, row["source_id"]) for row in shared.select("source_id").distinct().collect() for day in days_of(spark, layout.enriched, row["source_id"])
     ]
     if not slices:
         return
-    changed = changed_slices(spark, layout.enriched, slices, usable)
+    changed = changed_slices(spark, layout.enriched, slices, taken)
     if changed:
         manifest = layout.manifest(source_id)
         before = read_dates_manifest(spark, manifest) if exists(spark, manifest) else []
         write_dates_manifest(spark, manifest, [*before, *(day for day, _ in changed)])
-        drop_files(spark, layout.enriched, changed, usable, layout.staged(source_id))
+        drop_files(spark, layout.enriched, changed, taken, layout.staged(source_id))
 
 
 def _ddl(schema) -> str:
     return ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in schema.fields)
 
 
-def _usable(mode: str) -> Column:
+def usable(mode: str) -> Column:
     """Whether plays are taken from a file with a given verdict."""
     if mode == FILE_MODE:
         return F.col("ok")

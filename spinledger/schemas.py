@@ -120,6 +120,21 @@ class Layout:
     def run_metrics(self) -> str:
         return self._at("run_metrics")
 
+    @property
+    def arrivals(self) -> str:
+        return self._at("arrivals")
+
+    @property
+    def attempts(self) -> str:
+        return self._at("attempts")
+
+    def finished(self, source_id: str) -> str:
+        return self._at(f"finished/{source_id}")
+
+    @property
+    def moves(self) -> str:
+        return self._at("moves")
+
     def staged(self, source_id: str) -> str:
         return self._at(f"staged/{source_id}")
 

@@ -8,6 +8,8 @@ the file into one task.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,21 +17,12 @@ from pyspark.sql import functions as F
 _TEXT_OPTIONS = {"lineSep": "\n", "recursiveFileLookup": "true"}
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of every file at or below ``path``."""
-    return number_lines(_located(spark.read.options(**_TEXT_OPTIONS).text(path)))
-
-
-def stream_raw_lines(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """The same scan as a stream; number its micro-batches with ``number_lines``.
+def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Lines of every file at or below ``path``, or several paths.
 
-    File metadata is taken here because a micro-batch no longer carries it.
+    A split is read by one task in order, so the ids that number its lines are dense.
     """
-    return _located(spark.readStream.options(**_TEXT_OPTIONS, **options).text(path))
-
-
-def number_lines(located: DataFrame) -> DataFrame:
-    """Add ``pos``. A split is read by one task in order, so ids in it are dense."""
+    located = _located(spark.read.options(**_TEXT_OPTIONS).text(path))
     return located.select("file", "block", F.monotonically_increasing_id().alias("pos"), "value")
 
 
@@ -41,20 +34,3 @@ def _located(raw: DataFrame) -> DataFrame:
         .otherwise(F.col("value"))
         .alias("value"),
     )
-
-
-def zero_length_files(spark: SparkSession, path: str) -> DataFrame:
-    """Files without a single byte (file). A text scan never shows them.
-
-    This reads the file listing only, which Spark's own scan also keeps on the driver.
-    """
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(hadoop_path, True)
-    empty = []
-    while files.hasNext():
-        status = files.next()
-        name = status.getPath().getName()
-        if status.getLen() == 0 and not name.startswith(("_", ".")):
-            # The spelling of the scan's own metadata column.
-            empty.append((status.getPath().toString(),))
-    return spark.createDataFrame(empty, "file string")

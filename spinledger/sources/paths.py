@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Iterable
+from datetime import UTC, datetime
 
 from pyspark.sql import SparkSession
 
@@ -26,12 +29,72 @@ def existing(spark: SparkSession, parent: str, names: Iterable[str]) -> list[str
     return [f"{parent}/{name}" for name in names if fs.exists(new_path(parent_path, name))]
 
 
+def empty_version(spark: SparkSession, file: str) -> tuple[str, datetime, int] | None:
+    """(file, modified, 0) of a file given by its URI, if it exists and is still empty."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(file))
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return None
+    status = fs.getFileStatus(path)
+    return (file, datetime.fromtimestamp(status.getModificationTime() / 1000, UTC), 0) if status.getLen() == 0 else None
+
+
+def names_below(spark: SparkSession, path: str) -> list[str]:
+    fs, hadoop_path = _resolve(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    return sorted(status.getPath().getName() for status in fs.listStatus(hadoop_path))
+
+
+def rename_file(spark: SparkSession, source: str, target: str) -> None:
+    """Give a file another name; a file of that name is replaced."""
+    fs, source_path = _resolve(spark, source)
+    _, target_path = _resolve(spark, target)
+    fs.mkdirs(target_path.getParent())
+    if fs.exists(target_path):
+        fs.delete(target_path, False)
+    if not fs.rename(source_path, target_path):
+        raise OSError(f"could not rename {source} to {target}")
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _resolve(spark, path)
+    fs.mkdirs(hadoop_path)
+
+
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file that is either whole or not there: written aside, then renamed."""
+    fs, hadoop_path = _resolve(spark, path)
+    aside = spark._jvm.org.apache.hadoop.fs.Path(hadoop_path.getParent(), f".{hadoop_path.getName()}-{uuid.uuid4().hex}")
+    stream = fs.create(aside, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if fs.exists(hadoop_path):
+        fs.delete(hadoop_path, False)
+    if not fs.rename(aside, hadoop_path):
+        raise OSError(f"could not write {path}")
+
+
+def read_note(spark: SparkSession, path: str):
+    """The JSON value of a note, or None if there is none."""
+    fs, hadoop_path = _resolve(spark, path)
+    if not fs.exists(hadoop_path):
+        return None
+    stream = fs.open(hadoop_path)
+    try:
+        return json.loads(bytes(stream.readAllBytes()))
+    finally:
+        stream.close()
+
+
 def archive_input(spark: SparkSession, raw_root: str, archive_root: str, object_key: str) -> dict[str, str]:
-    """Move a processed input to the archive under the same relative key.
+    """Move one processed file to the archive under the same relative key.
 
     A rename, so no bytes pass through this process. Call it only after the load
-    of the input has succeeded. A missing input raises. A target that an earlier delivery
-    of the same key left is replaced.
+    of the input has succeeded. A missing input raises, a folder too: ``run_and_archive`` moves
+    its files one by one. A file that an earlier delivery of the same key left is replaced.
     """
     for name, value in {"raw_root": raw_root, "archive_root": archive_root, "object_key": object_key}.items():
         if not value:
@@ -39,15 +102,43 @@ def archive_input(spark: SparkSession, raw_root: str, archive_root: str, object_
     source = f"{raw_root.rstrip('/')}/{object_key}"
     target = f"{archive_root.rstrip('/')}/{object_key}"
     fs, source_path = _resolve(spark, source)
-    _, target_path = _resolve(spark, target)
     if not fs.exists(source_path):
         raise FileNotFoundError(source)
+    status = fs.getFileStatus(source_path)
+    if status.isDirectory():
+        raise IsADirectoryError(source)
+    move_file(spark, status.getPath().toUri().toString(), target, status.getModificationTime(), status.getLen())
+    return {"status": "archived", "from": source, "to": target}
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The full URI of a path, with scheme and without a slash at its end."""
+    fs, hadoop_path = _resolve(spark, path)
+    return fs.makeQualified(hadoop_path).toString().rstrip("/")
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, hadoop_path = _resolve(spark, path)
+    return fs.exists(hadoop_path) and fs.getFileStatus(hadoop_path).isDirectory()
+
+
+def move_file(spark: SparkSession, file: str, target: str, modified: int, length: int) -> str:
+    """Rename one file of a move list, by the driver; returns the state (see ``moves``)."""
+    uri = spark._jvm.java.net.URI(file)
+    source_path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    fs = source_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    _, target_path = _resolve(spark, target)
+    if not fs.exists(source_path):
+        return "moved before" if fs.exists(target_path) else "missing"
+    status = fs.getFileStatus(source_path)
+    if status.getLen() != length or abs(status.getModificationTime() - modified) >= 1000:
+        return "newer version"
     fs.mkdirs(target_path.getParent())
-    if fs.exists(target_path):
-        fs.delete(target_path, True)
+    if fs.exists(target_path) and fs.getFileStatus(target_path).isFile():
+        fs.delete(target_path, False)
     if not fs.rename(source_path, target_path):
-        raise OSError(f"could not move {source} to {target}")
-    return {"status": "archived", "from": source, "to": target}
+        raise OSError(f"could not move {file} to {target}")
+    return "moved"
 
 
 def first_folder(spark: SparkSession, parent: str, prefix: str) -> str | None:
@@ -68,13 +159,3 @@ def days_of(spark: SparkSession, parent: str, source_id: str) -> list[str]:
     fs, _ = _resolve(spark, parent)
     found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{parent}/listen_date=*/source_id={source_id}"))
     return sorted(status.getPath().getParent().getName().removeprefix("listen_date=") for status in found or [])
-
-
-def key_below(spark: SparkSession, root: str, file: str) -> str:
-    """The key of a file, given as the URI a scan reports, relative to ``root``."""
-    fs, root_path = _resolve(spark, root)
-    whole = spark._jvm.java.net.URI(file).getPath()
-    base = fs.makeQualified(root_path).toUri().getPath().rstrip("/")
-    if not whole.startswith(f"{base}/"):
-        raise ValueError(f"{file} does not lie below {root}")
-    return whole[len(base) + 1 :]

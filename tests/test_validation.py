@@ -8,7 +8,8 @@ from datetime import datetime
 import pytest
 
 from spinledger.operators import validation as v
-from spinledger.sources.lines import read_lines, zero_length_files
+from spinledger.sources.lines import read_lines
+from spinledger.sources.listing import zero_length_files
 
 HEADER = "user_id,track_id,listen_time"
 GOOD = "1,k7,2024-06-25 08:05:09"
