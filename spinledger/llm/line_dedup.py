@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from ..sources.paths import read_note, write_note
 from .cuckoo import CuckooFilter
 from .tables import carried, extended, prepare, restored, table
 
@@ -44,12 +45,13 @@ class LineIndex:
     ``counts`` is the exact table (shard, key, n), ``filters`` one cuckoo filter per shard
     with the keys of at least ``min_documents`` documents. ``insert`` and ``delete`` write
     the next version: counts by a grouped sum, filters by inserting keys that cross the
-    limit upwards and deleting those that cross it downwards. A version is named only after
-    both its tables are written, so a lost executor or driver leaves the last one intact.
+    limit upwards and deleting those that cross it downwards. A version is named, by a rename,
+    only after both its tables are written, so a lost executor or driver leaves the last one
+    intact, and an index that is opened again on its path goes on from there.
     """
 
     def __init__(self, spark: SparkSession, path: str, min_documents: int = MIN_DOCUMENTS, min_chars: int = MIN_CHARS, shards: int = SHARDS):
-        self.spark, self.path, self.version = spark, path, 0
+        self.spark, self.path, self.version = spark, path, read_note(spark, f"{path}/version") or 0
         self.min_documents, self.min_chars, self.shards = min_documents, min_chars, shards
 
     def counts(self) -> DataFrame:
@@ -66,7 +68,7 @@ class LineIndex:
         self._update(docs, 1)
 
     def delete(self, docs: DataFrame) -> None:
-        """Take documents back that were inserted before."""
+        """Take documents back that were inserted before; others raise, and nothing changes."""
         self._update(docs, -1)
 
     def _update(self, docs: DataFrame, sign: int) -> None:
@@ -79,6 +81,8 @@ class LineIndex:
         staged = f"{self.path}/staged-{following}"
         after.select("shard", "key", "n", "old").write.mode("overwrite").parquet(staged)
         table_ = self.spark.read.schema(f"{_COUNTS}, old bigint").parquet(staged)
+        if sign < 0 and not table_.where("n < 0").isEmpty():
+            raise ValueError("a document is to be taken back that was never inserted")
         least = self.min_documents
         near = table_.where((F.col("n") >= least) | (F.col("old") >= least)).select("shard", "key", (F.col("n") >= least).alias("now"), (F.col("old") >= least).alias("was"))
         updated = (
@@ -86,6 +90,7 @@ class LineIndex:
         )
         updated.write.mode("overwrite").parquet(f"{self.path}/filters-{following}")
         table_.where("n > 0").select("shard", "key", "n").write.mode("overwrite").parquet(f"{self.path}/counts-{following}")
+        write_note(self.spark, f"{self.path}/version", str(following))
         self.version = following
 
     def repeated(self) -> DataFrame:

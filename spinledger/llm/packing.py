@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -40,8 +41,8 @@ class Encoder:
 
     The vocabulary's pattern starts a new token at every single blank that follows a
     non-blank and precedes one. A text is cut there and each piece encoded once. A text
-    with other runs of white space next to a blank is encoded as a whole. Special tokens'
-    strings are ordinary text.
+    with other runs of white space next to a blank is encoded as a whole. Strings of added
+    tokens get the ids that the vocabulary's ``.json`` file gives them.
     """
 
     def __init__(self, path: str):
@@ -50,13 +51,18 @@ class Encoder:
 
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines)}
-        self.encoding = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        with open(path.removesuffix(".tiktoken") + ".json", encoding="utf-8") as file:
+            self.added = {token["content"]: token["id"] for token in json.load(file)["added_tokens"]}
+        ranks = {token: rank for token, rank in ranks.items() if rank not in set(self.added.values())}
+        self.encoding = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=self.added)
         # Two bytes an id where they are enough.
-        self.dtype = np.dtype("<u2") if max(ranks.values()) < 1 << 16 else np.dtype("<u4")
+        self.dtype = np.dtype("<u2") if self.encoding.max_token_value < 1 << 16 else np.dtype("<u4")
         self.known: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         """The ids as bytes of ``dtype``."""
+        if any(token in text for token in self.added):
+            return np.array(self.encoding.encode(text, allowed_special="all"), self.dtype).tobytes()
         first, *others = text.split(" ")
         if any(piece == "" or piece[0].isspace() for piece in others):
             return self._plain(text)

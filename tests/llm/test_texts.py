@@ -200,6 +200,19 @@ def test_automaton_finds_every_common_run():
     assert got == expected
 
 
+def test_line_index_goes_on_where_it_was_closed(spark, tmp_path):
+    path = str(tmp_path / "index")
+    for day in range(3):
+        LineIndex(spark, path, min_documents=3, shards=2).insert(frame(spark, [(day, f"often\nonce {day}")]))
+    again = LineIndex(spark, path, min_documents=3, shards=2)
+    assert again.version == 3 and again.repeated().count() == 1
+    with pytest.raises(ValueError, match="never inserted"):
+        again.delete(frame(spark, [(9, "unknown")]))
+    again.delete(frame(spark, [(0, "often\nonce 0")]))
+    after = LineIndex(spark, path, min_documents=3, shards=2)
+    assert after.version == 4 and after.repeated().count() == 0 and after.counts().count() == 3
+
+
 # --- packing -------------------------------------------------------------------
 
 
@@ -209,7 +222,6 @@ def encoded(text):
 
     if not hasattr(encoded, "tokenizer"):
         encoded.tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-        encoded.tokenizer.encode_special_tokens = True
     return encoded.tokenizer.encode(text or "", add_special_tokens=False).ids + [1]
 
 
@@ -220,6 +232,13 @@ def test_encoder_equals_the_tokenizer(text):
     assert np.frombuffer(encoder.encode(text), encoder.dtype).tolist() == encoded(text)[:-1]
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endoftext", "|>", " ", "  ", "\n", "ab", " cd", "É"]), max_size=9))
+def test_encoder_takes_added_tokens_as_the_tokenizer_does(parts):
+    encoder = packing._encoder(packing.vocabulary_path())
+    assert np.frombuffer(encoder.encode("".join(parts)), encoder.dtype).tolist() == encoded("".join(parts))[:-1]
+
+
 def check_pieces(rows, texts, window=packing.WINDOW):
     """Pieces cover every document once and fill the sequences one after another."""
     pieces = sorted(rows, key=lambda row: (row["sequence_id"], row["offset"]))
