@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from .paths import empty_version
 
 VERSION = "file string, modified timestamp, length bigint"
+_HOSTLESS = re.compile("^([A-Za-z][A-Za-z0-9+.-]*):///")
 
 
 def file_versions(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -27,7 +29,8 @@ def file_versions(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
         F.col("_metadata.file_size").alias("length"),
     )
     # The names are those of the listing that a scan keeps on the driver as well.
-    named = spark.createDataFrame([(name,) for name in files.inputFiles()], "file string")
+    # It writes a store without a host with three slashes, a scan with one.
+    named = spark.createDataFrame([(_HOSTLESS.sub(r"\1:/", name),) for name in files.inputFiles()], "file string")
     empty = [version for row in named.join(full, "file", "left_anti").collect() if (version := empty_version(spark, row["file"]))]
     return full.unionByName(spark.createDataFrame(empty, VERSION)) if empty else full
 
