@@ -676,8 +676,8 @@ def archive_two_nights(spark: SparkSession, sf_dir: str) -> DataFrame:
         plays = plays.withColumn("day", F.substring("listen_time", 1, 10))
         plays.repartition("day").write.mode("append").partitionBy("day").csv(f"{root}/raw/streams", header=True)
         run_and_archive(spark, f"{root}/raw", f"{root}/archived", "streams", songs, users, layout)
-    loaded = read_kpis(spark, layout.daily_genre).agg(F.sum("listen_count").alias("loaded"))
-    return _by_folder(spark, root).join(loaded)
+    loaded = read_kpis(spark, layout.daily_genre).agg(F.sum("listen_count")).first()[0]
+    return _by_folder(spark, root).withColumn("loaded", F.lit(loaded))
 
 
 def _deliver_lines(spark: SparkSession, lines: DataFrame, path: str) -> list[str]:
