@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.iso import iso_timestamp
 from ..schemas import CORRUPT_COLUMN, STREAM_COLUMNS, STREAM_RECORD
+from .records import opens_quote
 
 # Reasons, and the wording reports use for them.
 WIDTH = "column count mismatch"
@@ -108,7 +109,7 @@ def split_summary(lines: DataFrame) -> DataFrame:
     per split before anything is shuffled. ``headers`` holds the first two positions of
     lines that read exactly like the header; a sound file has one such line. It stays
     apart from ``bad`` because only the position in the file tells whether such a line is
-    the header or a bad record.
+    the header or a bad record. ``opens`` says whether a line leaves quotes open.
     """
     judged = judge_lines(lines)
     bad = F.struct("pos", "reason", "value", "listen_time")
@@ -119,6 +120,7 @@ def split_summary(lines: DataFrame) -> DataFrame:
         F.min_by(F.struct("value", header.alias("ok")), "pos").alias("first_line"),
         F.min(F.when(F.col("reason").isNotNull() & ~header, bad)).alias("bad"),
         F.slice(F.array_sort(F.collect_list(F.when(header, F.col("pos")))), 1, 2).alias("headers"),
+        F.bool_or(opens_quote(F.col("value"))).alias("opens"),
     )
 
 

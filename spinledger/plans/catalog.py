@@ -7,6 +7,7 @@ the shared scratch space and return what they read back.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +28,7 @@ from ..sources.paths import exists, names_below, rename_file, write_note
 from ..sources.tables import read_enriched, read_kpis, slice_path, write_enriched
 from ..streaming.pipeline import start_stream
 from . import given_tables as given
-from .ingest import FILE_MODE, ROW_MODE, ingest, run_and_archive, run_batch
+from .ingest import FILE_MODE, ROW_MODE, ingest, read_verdicts, run_and_archive, run_batch, validate
 from .load import refresh_kpis
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -530,6 +531,50 @@ def validate_text_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts.withColumn("file", F.regexp_extract("file", "/file=([^/]*)/", 1))
 
 
+@_query(
+    f"""with d as (
+  select 'docs-' || (doc_id // {given.RECORDS_PER_FILE}) || '.csv' as file, doc_id, coalesce(text, '') as text, length(text) % 50 = 0 as late,
+         row_number() over (partition by doc_id // {given.RECORDS_PER_FILE} order by doc_id) + 1 as n
+  from documents
+), bad as (
+  select file, n, case when text = '' then 'empty value in required field' else 'is not ISO datetime' end as reason,
+         case when text = '' then 'line ' || n || ': empty value in required field — ' || doc_id || ',"",' || case when late then 'someday' else '2024-06-25' end
+              else 'line ' || n || ': listen_time ''someday'' is not ISO datetime' end as message
+  from d where text = '' or late
+), firsts as (select file, min(n) as n, arg_min(reason, n) as reason, arg_min(message, n) as message from bad group by file)
+select file, firsts.n is null as ok, reason, firsts.n as line_no, coalesce(message, 'PASSED — ' || data_rows || ' rows checked') as message,
+       coalesce(firsts.n - 2, data_rows) as row_count, data_rows
+from (select file, count(*) as data_rows from d group by file) left join firsts using (file)"""
+)
+def validate_spanning_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files whose records span lines, each read in many splits: line numbers count records."""
+    path, layout = scratch_path(spark, "spanning"), Layout(scratch_path(spark, "spanning-tables"))
+    rows = given.document_records(spark, sf_dir)
+    written = rows.repartition("file").sortWithinPartitions("file", "place").select("file", "value")
+    written.write.partitionBy("file").text(path)
+    with _split_finely(spark):
+        validate(spark, read_lines(spark, path), spark.createDataFrame([], "file string"), layout, "documents")
+    verdicts = read_verdicts(spark, layout, "documents")
+    return verdicts.withColumn("file", F.regexp_extract("file", "/file=([^/]*)/", 1))
+
+
+@contextmanager
+def _split_finely(spark: SparkSession):
+    """Scans in between read files in several splits, also small files."""
+    finely = {"spark.sql.files.minPartitionNum": "64", "spark.sql.files.openCostInBytes": "1024"}
+    before = {key: spark.conf.get(key, None) for key in finely}
+    for key, value in finely.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def _ingested(spark: SparkSession, sf_dir: str, mode: str) -> tuple[Layout, str]:
     layout = Layout(scratch_path(spark, f"ingest-{mode}"))
     ingest(

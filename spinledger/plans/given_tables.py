@@ -129,6 +129,22 @@ def damaged_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.withColumn("first", first).where(header | (day != "08")).withColumn("value", value).drop("first")
 
 
+RECORDS_PER_FILE = 200
+
+
+def document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(file, place, value): every document as a record whose track is its whole text, line breaks
+    included, in files of consecutive documents. Some times are no times."""
+    docs = table(spark, sf_dir, "documents")
+    track = F.replace(F.coalesce("text", F.lit("")), F.lit('"'), F.lit('""'))
+    time = F.when(F.length("text") % 50 == 0, "someday").otherwise("2024-06-25")
+    number = F.floor(F.col("doc_id") / RECORDS_PER_FILE).cast("string")
+    value = F.concat(F.col("doc_id").cast("string"), F.lit(',"'), track, F.lit('",'), time)
+    rows = docs.select(F.concat(F.lit("docs-"), number, F.lit(".csv")).alias("file"), F.col("doc_id").alias("place"), value.alias("value"))
+    headers = rows.select("file").distinct().withColumns({"place": F.lit(-1).cast("bigint"), "value": F.lit(",".join(STREAM_COLUMNS))})
+    return rows.unionByName(headers)
+
+
 def _lines_of(events: DataFrame, value: Column) -> DataFrame:
     day = F.date_format("ts", "yyyy-MM-dd")
     file = F.concat(F.lit("plays-"), day, F.lit(".csv"))

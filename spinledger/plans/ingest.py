@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.enrich import enrich_streams
+from ..operators.records import join_records, spanning_files, with_records
 from ..operators.validation import (
     BAD_HEADER,
     EMPTY_FILE,
@@ -142,8 +143,16 @@ def validate(
         empty_files = empty_files.join(known, "file", "left_anti")
     # The summary of the splits is stored: verdicts and line numbers come from it, not from
     # further scans of the text.
-    write_slice(split_summary(lines), layout.splits, source_id)
-    splits = spark.read.parquet(slice_path(layout.splits, source_id))
+    write_slice(split_summary(lines).withColumn("joined", F.lit(False)), layout.splits, source_id)
+    spanning = spanning_files(read_splits(spark, layout, source_id))
+    if not spanning.isEmpty():
+        # Files with a line that leaves quotes open are judged by their records.
+        joined = split_summary(join_records(lines.join(spanning, "file", "left_semi"))).withColumn("joined", F.lit(True))
+        joined.write.mode("append").parquet(slice_path(layout.splits, source_id))
+        lines = with_records(lines, spanning)
+    splits = read_splits(spark, layout, source_id)
+    # Of a file that was read both ways its records count.
+    splits = splits.withColumn("records", F.bool_or("joined").over(Window.partitionBy("file"))).where("joined = records")
     judged = verdicts_of(splits).unionByName(empty_file_verdicts(empty_files))
     write_slice(judged, layout.verdicts, source_id)
     verdicts = read_verdicts(spark, layout, source_id)
@@ -179,6 +188,9 @@ def transform(
     """
     # Files set aside are few in a sound delivery: where there are none, the lines are not
     # joined at all, and else Catalyst broadcasts their names while they are small.
+    spanning = spanning_files(read_splits(spark, layout, source_id))
+    if not spanning.isEmpty():
+        lines = with_records(lines, spanning)
     rejected = read_verdicts(spark, layout, source_id).where(~usable(mode)).select("file")
     taken = lines if rejected.isEmpty() else lines.join(rejected, "file", "left_anti")
     plays = good_plays(judge_lines(taken))
@@ -199,6 +211,10 @@ def read_verdicts(spark: SparkSession, layout: Layout, source_id: str) -> DataFr
     return spark.read.schema(VERDICT).parquet(slice_path(layout.verdicts, source_id))
 
 
+def read_splits(spark: SparkSession, layout: Layout, source_id: str) -> DataFrame:
+    return spark.read.parquet(slice_path(layout.splits, source_id))
+
+
 def _take_back(spark: SparkSession, layout: Layout, source_id: str, mode: str) -> None:
     """Remove what other arrivals stored of the usable files of this one.
 
