@@ -1,8 +1,10 @@
 """Secrets, line dedup, decontamination and packing against plain versions."""
 
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
 import random
 import re
 import urllib.parse
@@ -79,6 +81,65 @@ def test_damaged_and_endless_layers_end():
         secrets_scan.scan(text)
 
 
+def kinds_at(text):
+    return {(kind, text[start:end]) for kind, start, end in secrets_scan.scan(text)[1]}
+
+
+@pytest.mark.parametrize(
+    "text, whole",
+    [
+        (r"x \u0022password\u0022: \u0022hunter22\u0022 y", r"password\u0022: \u0022hunter22"),
+        ("x, &#34;token&#34;: &#34;abcdef12&#34; y", "token&#34;: &#34;abcdef12"),
+        ('api_key%3D "abcdef12"', 'api_key%3D "abcdef12'),
+        ('so secret = "ab%2Bcdefgh", then', 'secret = "ab%2Bcdefgh'),
+        ("pass%77ord = hunter22", "pass%77ord = hunter22"),
+        ("Ärger, token %3A %22abcdef%22", "token %3A %22abcdef"),
+        ("&#x73;ecret&#61;\\x61bcdef", "&#x73;ecret&#61;\\x61bcdef"),
+    ],
+)
+def test_codes_among_plain_text(text, whole):
+    assert ("assign", whole) in kinds_at(text)
+
+
+def wrapped(data, width=76, end="\n", indent=""):
+    word = base64.b64encode(data).decode()
+    return end.join(indent + word[k : k + width] for k in range(0, len(word), width))
+
+
+@pytest.mark.parametrize("end, indent", [("\n", ""), ("\r\n", ""), ("\n", "   ")])
+def test_wrapped_words(end, indent):
+    noise = "".join(chr(97 + k * k % 23) for k in range(150))
+    for data in (f"{noise} password = hunter22 {noise}".encode(), gzip.compress(f"{noise}; password = hunter22".encode() * 3, mtime=0)):
+        text = "Head: x" + end + wrapped(data, end=end, indent=indent) + end + "thanks" + end
+        assert {kind for kind, _ in kinds_at(text)} == {"assign"}
+    plain = "y" * 40 + " password=hunter22abc " + "z" * 60
+    (kind, start, end_at), = secrets_scan.scan(wrapped(plain.encode(), end=end, indent=indent))[1]
+    covered = re.sub(r"\s", "", wrapped(plain.encode(), end=end, indent=indent)[start:end_at])
+    assert kind == "assign" and 28 <= len(covered) <= 32
+
+
+def test_all_members_and_repeated_compression():
+    first, second = gzip.compress(b"nothing here ", mtime=0), gzip.compress(b"token=abcdef12", mtime=0)
+    for data in (first + second, bz2.compress(second), gzip.compress(bz2.compress(zlib.compress(b"token=abcdef12")), mtime=0), lzma.compress(b"\x00\xff token=abcdef12")):
+        word = base64.b64encode(data).decode()
+        assert ("assign", word.rstrip("=")) in {(kind, part.rstrip("=")) for kind, part in kinds_at(f"a {word} b")}
+
+
+def test_large_and_damaged_compressed_layers(monkeypatch):
+    monkeypatch.setattr(secrets_scan, "PIECE", 1000)
+    rows = b"".join(b"row %d, nothing\n" % k for k in range(4000))
+    for body in (b"token=abcdef12, " + rows, rows + b" token=abcdef12", rows + b"token = " + b"ghijkl" * 900):
+        assert {kind for kind, _ in kinds_at(base64.b64encode(gzip.compress(body, mtime=0)).decode())} == {"assign"}
+    cut = gzip.compress(b"token=abcdef12, " + rows, mtime=0)[:-2000]
+    assert {kind for kind, _ in kinds_at(base64.b64encode(cut).decode())} >= {"assign"}
+
+
+def test_long_text_with_deep_codes():
+    deep = "%" + "25" * 40 + "3D"
+    text = "word and, more. " * 20000 + f"api_key{deep}abcdef12, " + "plain text here. " * 20000
+    assert ("assign", f"api_key{deep}abcdef12") in kinds_at(text)
+
+
 def test_secrets_of_awkward_rows(spark, awkward):
     rows = secrets_scan.secrets_found(awkward).collect()
     assert len(rows) == 10 and all(row["spans"] == "" for row in rows)
