@@ -45,7 +45,7 @@ def compute_top_songs_per_genre(enriched: DataFrame, listen_date: str | None = N
         .groupBy("listen_date", "track_genre", "track_id", "track_name")
         .agg(F.count(F.lit(1)).alias("listen_count"))
     )
-    best = _top(counts, ["listen_date", "track_genre"], n, F.col("track_id"), F.col("track_name"))
+    best = top_of_group(counts, ["listen_date", "track_genre"], n, F.col("track_id"), F.col("track_name"))
     return best.select(
         F.col("track_genre").alias("genre"),
         "track_id",
@@ -73,7 +73,7 @@ def rank_genres(daily: DataFrame, n: int = 5) -> DataFrame:
     The daily genre KPIs hold just these counts, so a load that has them needs no
     further pass over the plays.
     """
-    return _top(daily, ["date"], n, F.col("genre")).select(
+    return top_of_group(daily, ["date"], n, F.col("genre")).select(
         "date", padded_rank(F.col("rank")).alias("rank"), "genre", "listen_count"
     )
 
@@ -84,7 +84,7 @@ def _one_day(enriched: DataFrame, listen_date: str | None) -> DataFrame:
     return enriched.where(F.col("listen_date") == F.lit(listen_date).cast("date"))
 
 
-def _top(counts: DataFrame, group: list[str], n: int, *tie_breaks: Column) -> DataFrame:
+def top_of_group(counts: DataFrame, group: list[str], n: int, *tie_breaks: Column) -> DataFrame:
     # Spark prunes each task's rows to n per group before the shuffle of the
     # window, so a group reaches its task as at most n rows per upstream task.
     if not 1 <= n <= MAX_RANK:

@@ -20,6 +20,7 @@ from ..operators.validation import (
     verdicts_of,
 )
 from ..schemas import VERDICT, Layout
+from ..sources.lease import holding
 from ..sources.lines import read_lines
 from ..sources.listing import zero_length_files
 from ..sources.manifest import read_dates_manifest, write_dates_manifest
@@ -94,7 +95,8 @@ def run_and_archive(
     def run(source_id: str) -> dict[str, int]:
         return run_batch(spark, path, songs, users, layout, source_id=source_id, **options)
 
-    return deliver(spark, raw_root, archive_root, layout, object_key, source_id_of(object_key), is_folder(spark, path), run, mode)
+    with holding(spark, layout.lease):
+        return deliver(spark, raw_root, archive_root, layout, object_key, source_id_of(object_key), is_folder(spark, path), run, mode)
 
 
 def ingest(
@@ -114,14 +116,18 @@ def ingest(
     In ``files`` mode one bad record rejects its file and the other files go on. In
     ``rows`` mode only the bad records are set aside. Every step replaces what an
     earlier attempt at the same ``source_id`` wrote, so a failed run can be repeated.
+    Only one arrival at a time is taken on a root; another one waits for it.
     """
     if not source_id or "/" in source_id:
         raise ValueError(f"source_id names a folder and must not be empty or hold a slash: {source_id!r}")
-    metrics = validate(spark, lines, empty_files, layout, source_id, mode=mode)
-    metrics |= transform(spark, lines, songs, users, layout, source_id, mode=mode, rebalance=rebalance)
-    metrics |= load(spark, layout, source_id)
-    row = spark.createDataFrame([tuple(metrics.values())], ", ".join(f"{name} bigint" for name in metrics))
-    write_slice(row, layout.run_metrics, source_id)
+    with holding(spark, layout.lease) as lease:
+        metrics = validate(spark, lines, empty_files, layout, source_id, mode=mode)
+        lease.check()
+        metrics |= transform(spark, lines, songs, users, layout, source_id, mode=mode, rebalance=rebalance)
+        lease.check()
+        metrics |= load(spark, layout, source_id)
+        row = spark.createDataFrame([tuple(metrics.values())], ", ".join(f"{name} bigint" for name in metrics))
+        write_slice(row, layout.run_metrics, source_id)
     return metrics
 
 

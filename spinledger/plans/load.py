@@ -8,9 +8,11 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.kpis import compute_daily_genre_kpis, compute_top_songs_per_genre, rank_genres
+from ..operators.kpis import rank_genres
+from ..operators.partials import daily_genre_of_partials, song_partials, top_songs_of_partials, user_partials
 from ..operators.upsert import with_complete_key, with_incomplete_key
 from ..schemas import DAILY_GENRE_KEYS, TOP_GENRES_KEYS, TOP_SONGS_KEYS, Layout
+from ..sources.partials import read_partials, slice_versions
 from ..sources.tables import clear_partitions, read_enriched, write_days
 
 TOP_SONGS = 3
@@ -26,19 +28,26 @@ def refresh_kpis(
     n_songs: int = TOP_SONGS,
     n_genres: int = TOP_GENRES,
 ) -> dict[str, int]:
-    """Recompute the given days from all their plays and replace them in each table.
+    """Recompute the given days from all their arrivals and replace them in each table.
 
     Days are recomputed whole, so late files, reruns and several files per day all
-    come out right. All days are computed together; the plays are read twice, once
-    for the listener counts and once for the song counts, each with its own columns.
+    come out right. Each arrival of a day is summed up once, per user and per song, and its
+    sums are stored: a late file costs a read of its own plays and of the sums of the others.
     """
     if not dates:
         return dict(NOTHING)
-    enriched = read_enriched(spark, layout.enriched, dates)
+    slices = slice_versions(spark, layout.enriched, dates)
+    users, plays = (
+        read_partials(spark, layout.enriched, path, slices, summed)
+        for path, summed in ((layout.user_partials, user_partials), (layout.song_partials, song_partials))
+    )
+    if users is None or plays is None:
+        enriched = read_enriched(spark, layout.enriched, dates)
+        users, plays = user_partials(enriched), song_partials(enriched)
     # Summaries feed a table, a ranking and the reject list. They hold one row per
     # genre or ranked song and day; a lost block is recomputed from the store.
-    daily = compute_daily_genre_kpis(enriched).persist(StorageLevel.MEMORY_AND_DISK)
-    songs = compute_top_songs_per_genre(enriched, n=n_songs).persist(StorageLevel.MEMORY_AND_DISK)
+    daily = daily_genre_of_partials(users).persist(StorageLevel.MEMORY_AND_DISK)
+    songs = top_songs_of_partials(plays, n_songs).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         genres = rank_genres(daily.select("date", "genre", "listen_count"), n_genres)
         written = {

@@ -116,6 +116,18 @@ class Layout:
     def rejected_items(self) -> str:
         return self._at("rejected_items")
 
+    @property
+    def user_partials(self) -> str:
+        return self._at("user_partials")
+
+    @property
+    def song_partials(self) -> str:
+        return self._at("song_partials")
+
+    @property
+    def lease(self) -> str:
+        return self._at("lease")
+
     @property
     def run_metrics(self) -> str:
         return self._at("run_metrics")

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import json
+import os
+import time
 import uuid
 from collections.abc import Iterable
 from datetime import UTC, datetime
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -159,3 +162,61 @@ def days_of(spark: SparkSession, parent: str, source_id: str) -> list[str]:
     fs, _ = _resolve(spark, parent)
     found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{parent}/listen_date=*/source_id={source_id}"))
     return sorted(status.getPath().getParent().getName().removeprefix("listen_date=") for status in found or [])
+
+
+def files_below(spark: SparkSession, path: str) -> list[tuple[str, str, int]]:
+    """(name of the folder, name, length) of the files at any depth below ``path``."""
+    fs, hadoop_path = _resolve(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    found, files = [], fs.listFiles(hadoop_path, True)
+    while files.hasNext():
+        status = files.next()
+        found.append((status.getPath().getParent().getName(), status.getPath().getName(), status.getLen()))
+    return found
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of rows that are derived from others."""
+    fs, hadoop_path = _resolve(spark, path)
+    fs.delete(hadoop_path, True)
+
+
+def create_exclusively(spark: SparkSession, path: str) -> bool:
+    """Create an empty file unless it exists; of several callers one gets True.
+
+    The store has to create exclusively, as HDFS does. For local files the operating system does.
+    """
+    fs, hadoop_path = _resolve(spark, path)
+    fs.mkdirs(hadoop_path.getParent())
+    if fs.getScheme() == "file":
+        try:
+            os.close(os.open(fs.makeQualified(hadoop_path).toUri().getPath(), os.O_CREAT | os.O_EXCL | os.O_WRONLY))
+        except FileExistsError:
+            return False
+        return True
+    try:
+        fs.create(hadoop_path, False).close()
+    except Py4JJavaError as error:
+        if fs.exists(hadoop_path):
+            return False
+        raise error
+    return True
+
+
+def file_age(spark: SparkSession, path: str) -> float | None:
+    """Seconds since a file was last touched; None if it does not exist."""
+    fs, hadoop_path = _resolve(spark, path)
+    if not fs.exists(hadoop_path):
+        return None
+    return time.time() - fs.getFileStatus(hadoop_path).getModificationTime() / 1000
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _resolve(spark, path)
+    fs.setTimes(hadoop_path, int(time.time() * 1000), -1)
+
+
+def delete_file(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _resolve(spark, path)
+    fs.delete(hadoop_path, False)

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..plans.arrivals import MAX_ATTEMPTS, consume, notice
 from ..plans.ingest import FILE_MODE
 from ..schemas import Layout
+from ..sources.lease import holding
 from ..sources.listing import VERSION
 from ..sources.paths import make_folder
 
@@ -54,19 +55,20 @@ def start_stream(
     source = spark.readStream.schema(VERSION).options(maxFilesPerTrigger="1", recursiveFileLookup="true").json(layout.arrivals)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        consume(
-            batch.sparkSession,
-            batch,
-            songs,
-            users,
-            layout,
-            f"{name}-{batch_id:010d}",
-            streams_path=streams_path,
-            archive_path=archive_path,
-            mode=mode,
-            rebalance=rebalance,
-            max_attempts=max_attempts,
-        )
+        with holding(batch.sparkSession, layout.lease):
+            consume(
+                batch.sparkSession,
+                batch,
+                songs,
+                users,
+                layout,
+                f"{name}-{batch_id:010d}",
+                streams_path=streams_path,
+                archive_path=archive_path,
+                mode=mode,
+                rebalance=rebalance,
+                max_attempts=max_attempts,
+            )
 
     writer = source.writeStream.queryName(name).foreachBatch(run).option("checkpointLocation", checkpoint)
     if available_now:

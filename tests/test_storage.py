@@ -6,6 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from spinledger.operators.kpis import compute_daily_genre_kpis, compute_top_genres_daily, compute_top_songs_per_genre
 from spinledger.plans.load import NOTHING, refresh_kpis
 from spinledger.schemas import Layout
 from spinledger.sources import tables
@@ -189,3 +190,44 @@ def test_archive_replaces_an_earlier_delivery(spark, tmp_path):
     archive_input(spark, str(tmp_path / "raw"), str(tmp_path / "archive"), "x.csv")
     assert (tmp_path / "archive" / "x.csv").read_text() == "new"
     assert not (tmp_path / "raw" / "x.csv").exists()
+
+
+def unreadable(folder):
+    """Overwrite stored plays in place, names and lengths kept: reading them would fail."""
+    files = [file for file in folder.rglob("*.parquet") if not file.name.startswith(".")]
+    for file in files:
+        file.write_bytes(b"x" * file.stat().st_size)
+        (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+    return len(files)
+
+
+def test_late_arrival_reads_no_plays_of_the_others(spark, tmp_path):
+    layout, dates = layout_with(spark, tmp_path, PLAYS)
+    refresh_kpis(spark, layout, dates)
+    assert unreadable(tmp_path / "root" / "enriched_streams") >= 2
+    _, late = tables.write_enriched(enriched_of(spark, [("gus", "s40", FIRST), ("ann", "s40", FIRST)]), layout.enriched, "late")
+    refresh_kpis(spark, layout, late)
+    plain = enriched_of(spark, PLAYS + [("gus", "s40", FIRST), ("ann", "s40", FIRST)])
+    for path, expected in (
+        (layout.daily_genre, compute_daily_genre_kpis(plain)),
+        (layout.top_songs, compute_top_songs_per_genre(plain)),
+        (layout.top_genres, compute_top_genres_daily(plain)),
+    ):
+        stored = tables.read_kpis(spark, path).select(*expected.columns)
+        assert sorted(map(str, stored.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_sums_of_a_replaced_slice_are_not_used(spark, tmp_path):
+    layout, dates = layout_with(spark, tmp_path, PLAYS)
+    tables.write_enriched(enriched_of(spark, [("gus", "s40", FIRST)]), layout.enriched, "b=1:2")
+    refresh_kpis(spark, layout, dates)
+    tables.write_enriched(enriched_of(spark, PLAYS[:2]), layout.enriched, "a")
+    tables.write_enriched(enriched_of(spark, [("gus", "s40", FIRST)] * 3), layout.enriched, "007")
+    refresh_kpis(spark, layout, dates)
+    plain = enriched_of(spark, PLAYS[:2] + [("gus", "s40", FIRST)] * 4)
+    day = "2023-11-02"
+    stored = tables.read_kpis(spark, layout.daily_genre, [day]).select("genre", "listen_count", "unique_listeners", "total_listening_time_ms")
+    expected = compute_daily_genre_kpis(plain).where(F.col("date") == day).select(*stored.columns)
+    assert sorted(map(str, stored.collect())) == sorted(map(str, expected.collect()))
+    versions = [folder for folder in (tmp_path / "root" / "user_partials" / f"listen_date={day}" / "source_id=a").iterdir() if folder.is_dir()]
+    assert len(versions) == 1
