@@ -37,10 +37,8 @@ def refresh_kpis(
     if not dates:
         return dict(NOTHING)
     slices = slice_versions(spark, layout.enriched, dates)
-    users, plays = (
-        read_partials(spark, layout.enriched, path, slices, summed)
-        for path, summed in ((layout.user_partials, user_partials), (layout.song_partials, song_partials))
-    )
+    tables = {layout.user_partials: user_partials, layout.song_partials: song_partials}
+    users, plays = read_partials(spark, layout.enriched, tables, slices)
     if users is None or plays is None:
         enriched = read_enriched(spark, layout.enriched, dates)
         users, plays = user_partials(enriched), song_partials(enriched)

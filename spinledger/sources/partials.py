@@ -36,40 +36,58 @@ def slice_versions(spark: SparkSession, path: str, dates: Iterable[str]) -> list
 def read_partials(
     spark: SparkSession,
     plays_path: str,
-    path: str,
+    tables: dict[str, Callable[..., DataFrame]],
     slices: Sequence[tuple[str, str, str]],
-    summed: Callable[..., DataFrame],
-) -> DataFrame | None:
-    """The sums of the given slices; those that are not stored yet are summed up and stored first.
+) -> list[DataFrame | None]:
+    """The sums of the given slices, from each table; ``tables`` names how each is summed up.
 
-    Only slices without sums of their version are read as plays. A slice without plays has no
-    sums; None if no slice has any.
+    Only slices that lack sums of their version are read as plays; their sums are stored first.
+    A slice without plays has no sums; None stands for a table without any.
     """
     names = {key: f"listen_date={key[0]}/{key[1]}/version={key[2]}" for key in slices}
-    stored = set(existing(spark, path, names.values()))
-    new = [key for key, name in names.items() if f"{path}/{name}" not in stored]
+    stored = [set(existing(spark, path, names.values())) for path in tables]
+    new = [key for key, name in names.items() if any(f"{path}/{name}" not in found for path, found in zip(tables, stored, strict=True))]
+    schemas: dict[str, T.StructType] = {}
     if new:
-        folders = [f"{plays_path}/listen_date={day}/{folder}" for day, folder, _ in new]
-        reader = spark.read.option("basePath", plays_path)
-        # Arrivals may have names that look like numbers: "007" has to stay what it is.
-        fields = [T.StructField(field.name, T.StringType() if field.name == "source_id" else field.dataType) for field in reader.parquet(*folders).schema]
-        plays = reader.schema(T.StructType(fields)).parquet(*folders)
-        versions = spark.createDataFrame(
-            [(day, unquote(folder.partition("=")[2]), version) for day, folder, version in new], "day string, source_id string, version string"
-        )
-        versions = versions.withColumn("listen_date", F.col("day").cast("date")).drop("day")
-        # Summed up before the version joins: the few rows of the list meet sums, not plays.
-        rows = summed(plays, "source_id").join(versions, ["listen_date", "source_id"])
-        (
-            rows.hint("rebalance", F.col("listen_date"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*SLICE)
-            .parquet(path)
-        )
-        for day, folder, version in new:
-            for name in names_below(spark, f"{path}/listen_date={day}/{folder}"):
-                if name.startswith("version=") and name != f"version={version}":
-                    delete_folder(spark, f"{path}/listen_date={day}/{folder}/{name}")
-    present = existing(spark, path, names.values())
-    return spark.read.option("basePath", path).parquet(*present) if present else None
+        plays, versions = _plays(spark, plays_path, new), _versions(spark, new)
+        for path, summed in tables.items():
+            # Summed up before the version joins: the few rows of the list meet sums, not plays.
+            rows = summed(plays, "source_id").join(versions, ["listen_date", "source_id"])
+            schemas[path] = rows.schema
+            (
+                rows.hint("rebalance", F.col("listen_date"))
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(*SLICE)
+                .parquet(path)
+            )
+            _drop_other_versions(spark, path, new)
+    found = []
+    for path in tables:
+        present = existing(spark, path, names.values())
+        reader = spark.read.option("basePath", path)
+        if path in schemas:
+            reader = reader.schema(schemas[path])
+        found.append(reader.parquet(*present) if present else None)
+    return found
+
+
+def _plays(spark: SparkSession, path: str, slices: Sequence[tuple[str, str, str]]) -> DataFrame:
+    folders = [f"{path}/listen_date={day}/{folder}" for day, folder, _ in slices]
+    reader = spark.read.option("basePath", path)
+    # Arrivals may have names that look like numbers: "007" has to stay what it is.
+    fields = [T.StructField(field.name, T.StringType() if field.name == "source_id" else field.dataType) for field in reader.parquet(*folders).schema]
+    return reader.schema(T.StructType(fields)).parquet(*folders)
+
+
+def _versions(spark: SparkSession, slices: Sequence[tuple[str, str, str]]) -> DataFrame:
+    rows = [(day, unquote(folder.partition("=")[2]), version) for day, folder, version in slices]
+    versions = spark.createDataFrame(rows, "day string, source_id string, version string")
+    return versions.withColumn("listen_date", F.col("day").cast("date")).drop("day")
+
+
+def _drop_other_versions(spark: SparkSession, path: str, slices: Sequence[tuple[str, str, str]]) -> None:
+    for day, folder, version in slices:
+        for name in names_below(spark, f"{path}/listen_date={day}/{folder}"):
+            if name.startswith("version=") and name != f"version={version}":
+                delete_folder(spark, f"{path}/listen_date={day}/{folder}/{name}")
