@@ -19,7 +19,7 @@ STORAGE = {
     "enriched_scan", "pruned_scan", "manifest_round_trip", "csv_streams_scan", "csv_songs_scan", "csv_users_scan",
     "day_union_recompute", "rerun_idempotent", "rejected_items", "validate_csv_scan", "quarantine",
     "quarantine_rows", "run_metrics", "batch_kpis", "stream_kpis", "archive_inputs",
-    "archive_two_nights", "stream_outcomes", "stream_new_versions",
+    "archive_two_nights", "stream_outcomes", "stream_new_versions", "listening_sums", "top_songs_from_sums",
 }
 LAZY = [name for name in QUERIES if name not in STORAGE]
 
