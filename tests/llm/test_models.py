@@ -235,6 +235,35 @@ def test_base_scores_equal_brute_force(spark, monkeypatch, head):
         assert sum(row["score"] for row in got) > sum(row["base_score"] for row in got)
 
 
+def test_model_learns_from_long_texts(spark):
+    rng = np.random.default_rng(3)
+    words = [f"word{k:02d}" for k in range(16)]
+    # A cycle of words, in each of six texts of 90,000 characters from another place on.
+    rows = [(k, " ".join((words * 805)[k : k + 12857])) for k in range(8) if not held_out(k, 5, 1)]
+    shuffled = " ".join(rng.permutation((words * 805)[:12857]))
+    got = {row["doc_id"]: row for row in lm_scoring.scored_documents(frame(spark, [*rows, (100, shuffled)])).collect()}
+    for doc_id, _ in rows:
+        # The frequencies of the words alone say nothing here: each occurs alike.
+        assert got[doc_id]["score"] > 0.6 * got[doc_id]["base_score"]
+        assert got[doc_id]["score"] > got[100]["score"] / 2
+
+
+def test_every_training_token_is_learned_from(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "SHARD_TOKENS", 1000)
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(0, 9, n).astype(np.int16) for n in rng.integers(0, 200, 90)]
+    rows = spark.createDataFrame([(int(rng.integers(-(2**62), 2**62)), t.tobytes()) for t in texts], "hash bigint, numbers binary")
+    total = sum(map(len, texts))
+    model = gru.start_model(np.ones(9))
+    fitted, learned = lm_scoring.fitted_model(model, rows, total)
+    assert learned == total and not np.allclose(fitted.inputs, model.inputs)
+    # The same weights however the rows are stored and dealt.
+    again, _ = lm_scoring.fitted_model(model, rows.orderBy("hash").repartition(7), total)
+    assert all(np.array_equal(one, other) for one, other in zip(fitted, again, strict=True))
+    # One shard is gone through whole, several times.
+    assert lm_scoring.fitted_model(model, rows.limit(5), 900)[1] == lm_scoring.PASSES * sum(map(len, texts[:5]))
+
+
 def test_scores_of_awkward_rows_and_of_none(spark, awkward):
     got = lm_scoring.scored_documents(awkward).collect()
     rows = [(row["doc_id"], row["text"]) for row in awkward.collect()]
