@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .paths import delete_folder, existing, files_below, names_below
+from .paths import delete_folder, existing, files_below, names_below, side_by_side
 
 SLICE = ["listen_date", "source_id", "version"]
 
@@ -23,8 +23,10 @@ SLICE = ["listen_date", "source_id", "version"]
 def slice_versions(spark: SparkSession, path: str, dates: Iterable[str]) -> list[tuple[str, str, str]]:
     """(day, name of the arrival's folder, version) of the stored slices of the given days."""
     found: dict[tuple[str, str], list[str]] = {}
-    for day in sorted(set(dates)):
-        for folder, name, length in files_below(spark, f"{path}/listen_date={day}"):
+    days = sorted(set(dates))
+    listed = side_by_side(lambda day: files_below(spark, f"{path}/listen_date={day}"), days)
+    for day, files in zip(days, listed, strict=True):
+        for folder, name, length in files:
             if folder.startswith("source_id=") and not name.startswith(("_", ".")):
                 found.setdefault((day, folder), []).append(f"{name} {length}")
     return [
@@ -87,7 +89,10 @@ def _versions(spark: SparkSession, slices: Sequence[tuple[str, str, str]]) -> Da
 
 
 def _drop_other_versions(spark: SparkSession, path: str, slices: Sequence[tuple[str, str, str]]) -> None:
-    for day, folder, version in slices:
+    def drop(key: tuple[str, str, str]) -> None:
+        day, folder, version = key
         for name in names_below(spark, f"{path}/listen_date={day}/{folder}"):
             if name.startswith("version=") and name != f"version={version}":
                 delete_folder(spark, f"{path}/listen_date={day}/{folder}/{name}")
+
+    side_by_side(drop, slices)

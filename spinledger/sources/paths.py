@@ -6,18 +6,31 @@ import json
 import os
 import time
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import UTC, datetime
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
+# Calls to a store that the driver makes side by side.
+FILE_THREADS = 16
+
 
 def _resolve(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def side_by_side(call: Callable, items: Iterable) -> list:
+    """The results of a call for each item, in order. Calls to a store mostly wait for it."""
+    items = list(items)
+    if len(items) < 2:
+        return [call(item) for item in items]
+    with ThreadPoolExecutor(min(FILE_THREADS, len(items))) as threads:
+        return list(threads.map(call, items))
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, hadoop_path = _resolve(spark, path)
     return fs.exists(hadoop_path)
@@ -29,7 +42,9 @@ def existing(spark: SparkSession, parent: str, names: Iterable[str]) -> list[str
     if not fs.exists(parent_path):
         return []
     new_path = spark._jvm.org.apache.hadoop.fs.Path
-    return [f"{parent}/{name}" for name in names if fs.exists(new_path(parent_path, name))]
+    names = list(names)
+    found = side_by_side(lambda name: fs.exists(new_path(parent_path, name)), names)
+    return [f"{parent}/{name}" for name, there in zip(names, found, strict=True) if there]
 
 
 def empty_version(spark: SparkSession, file: str) -> tuple[str, datetime, int] | None:
@@ -176,6 +191,27 @@ def files_below(spark: SparkSession, path: str) -> list[tuple[str, str, int]]:
     return found
 
 
+def replace_files(spark: SparkSession, source: str, folders: Iterable[str]) -> None:
+    """Put copies of the data files of ``source``, which are small, in place of the files of other folders.
+
+    The copies come first: a folder is never without a file.
+    """
+    fs, source_path = _resolve(spark, source)
+    conf, jvm = spark._jsc.hadoopConfiguration(), spark._jvm
+    given = [status.getPath() for status in fs.listStatus(source_path) if not status.getPath().getName().startswith(("_", "."))]
+
+    def replace(folder: str) -> None:
+        folder_path = jvm.org.apache.hadoop.fs.Path(folder)
+        before = [status.getPath() for status in fs.listStatus(folder_path)]
+        for path in given:
+            target = jvm.org.apache.hadoop.fs.Path(folder_path, path.getName())
+            jvm.org.apache.hadoop.fs.FileUtil.copy(fs, path, fs, target, False, conf)
+        for path in before:
+            fs.delete(path, True)
+
+    side_by_side(replace, folders)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of rows that are derived from others."""
     fs, hadoop_path = _resolve(spark, path)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import date_text
-from .paths import existing, first_folder
+from .paths import existing, first_folder, replace_files
 
 
 def read_enriched(spark: SparkSession, path: str, dates: Sequence[str] | None = None) -> DataFrame:
@@ -87,9 +87,14 @@ def slice_path(path: str, source_id: str) -> str:
 
 
 def clear_partitions(spark: SparkSession, path: str, partitions: Iterable[str]) -> None:
-    """Leave the named partitions, such as ``date=2024-06-25``, without rows."""
-    for folder in existing(spark, path, partitions):
-        spark.read.parquet(folder).limit(0).write.mode("overwrite").parquet(folder)
+    """Leave the named partitions, such as ``date=2024-06-25``, without rows.
+
+    One job empties the first of them; the others get copies of its file, which tells the columns.
+    """
+    folders = existing(spark, path, partitions)
+    if folders:
+        spark.read.parquet(folders[0]).limit(0).write.mode("overwrite").parquet(folders[0])
+        replace_files(spark, folders[0], folders[1:])
 
 
 def changed_slices(

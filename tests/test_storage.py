@@ -142,6 +142,20 @@ def test_emptied_day_is_cleared_everywhere(spark, tmp_path):
         assert {row["date"] for row in tables.read_kpis(spark, table).collect()} == {"2023-11-02"}
 
 
+def test_many_days_are_cleared_by_a_fixed_number_of_jobs(spark, tmp_path):
+    path, days = str(tmp_path / "table"), [f"2023-11-{day:02d}" for day in range(1, 13)]
+    rows = spark.createDataFrame([(day, k) for day in days for k in range(3)], "date string, k int")
+    rows.repartition(5).write.partitionBy("date").parquet(path)
+    spark.sparkContext.setJobGroup("clear", "days")
+    tables.clear_partitions(spark, path, [f"date={day}" for day in [*days[:10], "1999-01-01"]])
+    spark.sparkContext.setJobGroup("other", "rest")
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("clear")) <= 4
+    left = tables.read_kpis(spark, path)
+    assert left.columns == ["k", "date"] and sorted({row["date"] for row in left.collect()}) == days[10:]
+    # A cleared day is still there, without rows.
+    assert all(spark.read.parquet(f"{path}/date={day}").collect() == [] for day in days[:10])
+
+
 def test_nothing_to_load(spark, tmp_path):
     layout, dates = layout_with(spark, tmp_path, PLAYS)
     assert refresh_kpis(spark, layout, []) == NOTHING
