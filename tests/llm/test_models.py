@@ -264,6 +264,32 @@ def test_every_training_token_is_learned_from(spark, monkeypatch):
     assert lm_scoring.fitted_model(model, rows.limit(5), 900)[1] == lm_scoring.PASSES * sum(map(len, texts[:5]))
 
 
+@pytest.mark.parametrize("piece", [1 << 21, 300])
+def test_several_shards_go_through_every_pass(spark, monkeypatch, piece):
+    monkeypatch.setattr(lm_scoring, "SHARD_TOKENS", 2000)
+    monkeypatch.setattr(lm_scoring, "FIT_TOKENS", piece)
+    rng = np.random.default_rng(8)
+    texts = sorted((int(rng.integers(-(2**62), 2**62)), rng.integers(0, 9, n).astype(np.int16)) for n in range(1, 90))
+    rows = spark.createDataFrame([(key, text.tobytes()) for key, text in texts], "hash bigint, numbers binary")
+    total = sum(len(text) for _, text in texts)
+    got, _ = lm_scoring.fitted_model(gru.start_model(np.ones(9)), rows, total)
+    shards, folds, passes, model = -(-total // 2000), lm_scoring.FOLDS, 3, gru.start_model(np.ones(9))
+    assert shards > 1 and lm_scoring.PASSES == passes
+    for fold in range(folds):
+        fitted = []
+        for shard in range(shards):
+            own = np.concatenate([text for key, text in texts if key % folds == fold and (key >> 8) % shards == shard])
+            copy = gru.Model(*(weights.copy() for weights in model))
+            fitting = gru.Fitting(copy)
+            for again in range(passes):
+                for at in range(0, len(own), piece):
+                    fitting.run(own[at : at + piece], 8, gru.RATE * (1 - (fold + again / passes) / folds))
+            fitted.append((copy, len(own)))
+        tokens = sum(size for _, size in fitted)
+        model = gru.Model(*(sum(copy[k] * (size / tokens) for copy, size in fitted).astype(np.float32) for k in range(len(model))))
+    assert all(np.allclose(one, other, atol=1e-3) for one, other in zip(got, model, strict=True))
+
+
 def test_scores_of_awkward_rows_and_of_none(spark, awkward):
     got = lm_scoring.scored_documents(awkward).collect()
     rows = [(row["doc_id"], row["text"]) for row in awkward.collect()]
